@@ -42,11 +42,11 @@ def spelled_quantity(text: Column) -> Column:
 
 
 def dollar_amount(text: Column) -> Column:
-    return F.regexp_replace(text, "[$]", "").try_cast("double")
+    return F.translate(text, "$", "").try_cast("double")
 
 
 def percentage(text: Column) -> Column:
-    return F.regexp_replace(text, "%", "").try_cast("double")
+    return F.translate(text, "%", "").try_cast("double")
 
 
 def without_unit(text: Column) -> Column:
@@ -55,7 +55,7 @@ def without_unit(text: Column) -> Column:
 
 
 def decimal_comma(text: Column) -> Column:
-    return F.regexp_replace(text, ",", ".").try_cast("float")
+    return F.translate(text, ",", ".").try_cast("float")
 
 
 def recoded(value: Column, names: dict[str, str]) -> Column:

@@ -57,7 +57,8 @@ class KeyedTable:
     stays). Rows with a null in their key match nothing and are all kept, unless
     ``match_null_keys``. Several rows of one key in one batch are reduced to the
     greatest by ``order_by`` first. ``sort_by`` orders rows inside each bucket file,
-    so filters on those columns skip row groups.
+    so filters on those columns skip row groups. A snapshot is due when the commits
+    after the last one exceed both ``settle_bytes`` and ``settle_share`` of its size.
     """
 
     def __init__(
@@ -71,6 +72,7 @@ class KeyedTable:
         sort_by: Sequence[str] = (),
         bucket_bytes: int = 256 << 20,
         settle_share: float = 0.5,
+        settle_bytes: int = 64 << 20,
     ):
         if keep not in KEEP_RULES:
             raise ValueError(f"keep must be one of {KEEP_RULES}, not {keep!r}")
@@ -83,6 +85,7 @@ class KeyedTable:
         self.sort_by = tuple(sort_by) or self.keys
         self.bucket_bytes = bucket_bytes
         self.settle_share = settle_share
+        self.settle_bytes = settle_bytes
         self.log = CommitLog(spark, f"{self.path}/changes", VERSION)
 
     # ---- reading -----------------------------------------------------------
@@ -280,7 +283,8 @@ class KeyedTable:
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
         held, pending = self._bytes(snapshot, later)
-        if later and (pending > self.settle_share * held or len(later) >= MAX_UNSETTLED_COMMITS):
+        due = pending > max(self.settle_bytes, self.settle_share * held)
+        if later and (due or len(later) >= MAX_UNSETTLED_COMMITS):
             self.settle()
 
     def settle(self) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
@@ -68,7 +68,9 @@ class SnapshotTable:
             df = with_columns_of(df, self.read().schema)
         if cluster_by:
             columns = [named(c) for c in cluster_by]
-            df = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+            # The hash lets a range be cut inside one value that holds much of the table.
+            spread = F.xxhash64(*[named(f.name) for f in df.schema if not isinstance(f.dataType, MapType)])
+            df = df.repartitionByRange(*columns, spread).sortWithinPartitions(*columns)
         number = versions[-1] + 1 if versions else 0
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(staged)

@@ -26,7 +26,7 @@ SETTINGS = {
 
 
 def build_session(app: str = "shopstrata", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings this package relies on; ``extra`` uses ``_`` for ``.``-free keys."""
+    """A session with the settings this package relies on; ``extra`` adds more or overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -35,6 +35,13 @@ def build_session(app: str = "shopstrata", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Put the settings on a session made elsewhere."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 

@@ -10,8 +10,8 @@ from __future__ import annotations
 import csv
 import json
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -71,9 +71,11 @@ def _file_reader(reader, pattern: str):
     )
 
 
-def read_as_strings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """All columns of all files as strings, matched by each file's header."""
+def read_as_strings(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
+    """All columns of all files as strings, matched by each file's own header."""
     groups = files_by_header(spark, paths)
+    if not groups:
+        return None
     parts = [_read_group(spark, files, header) for header, files in groups.items()]
     whole = parts[0]
     for part in parts[1:]:
@@ -82,57 +84,36 @@ def read_as_strings(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Group files by their header columns.
+    """Group the files of one batch by their header columns.
 
-    The header is the first line of the block that starts a file; ids grow with the
-    lines of a block, so the line with the least id is it. One row per file returns.
+    Only the first line of each file is opened, as Spark's own reader does to name
+    columns; a batch holds a bounded number of files.
     """
-    lines = spark.read.text(list(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    first = (
-        lines.filter((F.col("start") == 0) & (F.trim("value") != ""))
-        .groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    )
+    with ThreadPool(min(32, max(1, len(paths)))) as pool:
+        headers = pool.map(lambda path: storage.first_line(spark, path), paths)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in first.collect():
-        names: list[str] = []
-        for name in next(csv.reader([row.header.lstrip("﻿")])):
-            name = name.strip() or "_unnamed"
-            while name in names:  # a repeated column keeps its values under another name
-                name += "_"
-            names.append(name)
-        groups.setdefault(tuple(names), []).append(row.path)
+    for path, header in zip(paths, headers):
+        if header:  # an empty file has neither columns nor rows
+            groups.setdefault(column_names(header), []).append(path)
     return groups
 
 
-def _csv_strings(spark: SparkSession, names: Sequence[str], header_checked: bool, files) -> DataFrame:
-    schema = StructType()
-    for name in names:
-        schema.add(name, StringType())
-    schema.add(RAGGED, StringType())
-    reader = (
-        spark.read.schema(schema).option("header", True)
-        .option("columnNameOfCorruptRecord", RAGGED)
-        .option("enforceSchema", not header_checked)
-    )
-    return reader.csv(list(files)).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+def column_names(header: str) -> tuple[str, ...]:
+    names: list[str] = []
+    for name in next(csv.reader([header.lstrip("\ufeff")])):
+        name = name.strip() or "_unnamed"
+        while name in names:  # a repeated column keeps its values under another name
+            name += "_"
+        names.append(name)
+    return tuple(names)
 
 
 def _read_group(spark: SparkSession, files: Sequence[str], header: Sequence[str]) -> DataFrame:
-    return _csv_strings(spark, header, header_checked=False, files=files)
-
-
-def read_expected(spark: SparkSession, paths: Sequence[str], schema: StructType) -> DataFrame:
-    """As strings, for files that all have exactly the expected header; others make it fail."""
-    return _csv_strings(spark, schema.names, header_checked=True, files=paths)
-
-
-def is_header_mismatch(error: Exception) -> bool:
-    return isinstance(error, PySparkException) and "CSV header does not conform" in str(error)
+    schema = StructType()
+    for name in (*header, RAGGED):
+        schema.add(name, StringType())
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", RAGGED)
+    return reader.csv(list(files)).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
 
 def rescued(strings: DataFrame, schema: StructType) -> DataFrame:
@@ -155,7 +136,8 @@ def rescued(strings: DataFrame, schema: StructType) -> DataFrame:
     entries = [part for name, value in misfit for part in (F.lit(name), value)]
     if entries:
         left_over = F.map_filter(F.create_map(*entries), lambda _, v: v.isNotNull())
-        payload = F.nullif(F.to_json(left_over), F.lit("{}"))
+        # Most rows fit, and those build no map.
+        payload = F.when(F.coalesce(*[v for _, v in misfit]).isNotNull(), F.to_json(left_over))
     else:
         payload = F.lit(None).cast("string")
     origin = [named(SOURCE_FILE)] if SOURCE_FILE in present else []

@@ -50,6 +50,23 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line that is not blank, read from the start of the file only."""
+    fs, target = _open(spark, path)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(fs.getConf()).getCodec(target)
+    stream = fs.open(target)
+    try:
+        source = codec.createInputStream(stream) if codec else stream
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        line = reader.readLine()
+        while line is not None and not line.strip():
+            line = reader.readLine()
+        return line or ""
+    finally:
+        stream.close()
+
+
 def publish(spark: SparkSession, staged: str, final: str) -> None:
     """Move a finished folder to its final name; the rename is the commit point."""
     fs, source = _open(spark, staged)

@@ -38,15 +38,9 @@ def ingest_landing(
         if log.find(source, batch) is not None:
             return
         paths = [row.path for row in rows.collect()]  # at most max_files names
-        if not paths:
-            return
-        try:
-            # Reading checks each header on the way, so the usual case is one scan.
-            log.append(bronze_rows(landing.read_expected(spark, paths, expected), expected), source, batch)
-        except Exception as error:
-            if not landing.is_header_mismatch(error):
-                raise
-            log.append(bronze_rows(landing.read_as_strings(spark, paths), expected), source, batch)
+        strings = landing.read_as_strings(spark, paths)
+        if strings is not None:
+            log.append(bronze_rows(strings, expected), source, batch)
 
     files = landing.stream_landing_files(spark, folder, pattern, max_files)
     drain(files, load, f"{checkpoint}/stream", output_mode="append")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstrata import storage
 
@@ -52,7 +53,7 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def stream_table(spark, path: str, max_files: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A stream over a parquet table: the rows it has, then those appended later."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
@@ -65,13 +66,20 @@ def dedup_stream(
     keys: Sequence[str],
     event_time: str | None = None,
     delay: str | None = None,
+    spread: int = 0,
 ) -> DataFrame:
     """First arrival per key, remembered in the checkpoint across runs.
 
     Without an event time every key is remembered for ever. With one, a key is
-    forgotten ``delay`` after it was seen, which bounds the state. The fact tables
-    need neither: there the table itself is the memory (``KeyedTable``).
+    forgotten ``delay`` after it was seen, which bounds the state. ``spread`` first
+    drops repeats within that many groups of input tasks, so the rows of a very
+    frequent key meet in one task only after they have been thinned out.
+
+    The fact tables need none of this: there the table itself is the memory.
     """
-    if event_time is None:
-        return stream.dropDuplicates(list(keys))
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    if event_time is not None:
+        return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    if spread:
+        salted = stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
+        stream = salted.dropDuplicates([*keys, "_salt"]).drop("_salt")
+    return stream.dropDuplicates(list(keys))

@@ -246,6 +246,7 @@ _QUERIES = {
     "stream_first_arrival": _LATER_WINS.format(extra="", direction="DESC"),
     "stream_upsert_latest": "SELECT * FROM shipments",
     "upsert_unconditional": _LATER_WINS.format(extra="", direction="DESC"),
+    "upsert_settled": _LATER_WINS.format(extra="", direction="DESC"),
     "change_feed_rows": """
         SELECT order_id, shipment_id, order_dt, carrier, 'insert' AS _change_type, CAST(0 AS BIGINT) AS _commit_version
         FROM by_arrival WHERE NOT early

@@ -93,8 +93,8 @@ def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(first.select("order_id", "item_seq", "dt", "quantity"), f"{folder}/landing")
     write_csv(second.select("quantity", "item_seq", "channel", "order_id", "dt"), f"{folder}/landing")
     declared = StructType.fromDDL("order_id bigint, item_seq int, dt date, quantity int")
-    paths = [r.path for r in landing.landing_files(spark, f"{folder}/landing").collect()]
-    return landing.rescued(landing.read_as_strings(spark, paths), declared).drop("source_file")
+    ingest_landing(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoint", declared)
+    return bronze_log(spark, f"{folder}/bronze").read().drop("source_file", "ingest_timestamp", BATCH)
 
 
 def _two_arrivals(df: DataFrame, date_column: str) -> tuple[DataFrame, DataFrame]:
@@ -149,7 +149,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "dedup")
     keys = ["l_orderkey", "l_linenumber"]
     stream = retail.stream(spark, sf_dir, "lineitem").select(*keys)
-    append_stream(dedup_stream(stream, keys), f"{folder}/first", f"{folder}/checkpoint")
+    append_stream(dedup_stream(stream, keys, spread=16), f"{folder}/first", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/first")
 
 
@@ -191,10 +191,10 @@ def change_feed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- tables --------------------------------------------------------------------
 
 
-def _upserted_shipments(spark: SparkSession, sf_dir: str, label: str) -> KeyedTable:
+def _upserted_shipments(spark: SparkSession, sf_dir: str, label: str, **options) -> KeyedTable:
     """Late shipments first, then the early ones, which replace them."""
     folder = scratch_folder(spark, label)
-    table = KeyedTable(spark, f"{folder}/table", schemas.SHIPMENT_KEYS, ["order_dt"])
+    table = KeyedTable(spark, f"{folder}/table", schemas.SHIPMENT_KEYS, ["order_dt"], **options)
     cleaned = silver.clean_order_shipments(retail.order_shipments(spark, sf_dir))
     early, late = _two_arrivals(cleaned, "order_dt")
     table.upsert(late)
@@ -206,8 +206,15 @@ def upsert_unconditional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result(_upserted_shipments(spark, sf_dir, "upsert").read())
 
 
+def upsert_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with a snapshot before the second upsert and one after it."""
+    table = _upserted_shipments(spark, sf_dir, "upsert-settled", settle_bytes=0)
+    table.settle()
+    return result(table.read())
+
+
 def change_feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return result(_upserted_shipments(spark, sf_dir, "feed").changes())
+    return result(_upserted_shipments(spark, sf_dir, "feed", settle_bytes=0).changes())
 
 
 def overwrite_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_first_arrival": stream_first_arrival,
     "stream_upsert_latest": stream_upsert_latest,
     "upsert_unconditional": upsert_unconditional,
+    "upsert_settled": upsert_settled,
     "change_feed_rows": change_feed_rows,
     "change_feed_latest": change_feed_latest,
     "overwrite_merge_schema": overwrite_merge_schema,

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from shopstrata import schemas
 from shopstrata.plans import gold, silver
@@ -19,13 +20,17 @@ def test_brand_code_comes_from_the_trimmed_name(spark):
     assert rows(silver.brands(raw)) == [("AquaPure", "Aqua-Pure", "GRCY")]
 
 
-@pytest.mark.parametrize(
-    "code, expected",
-    [("GROCERY", "GRCY"), ("BOOKS", "BKS"), ("TOYS", "TOY"), ("grocery", "grocery"), (None, None)],
-)
-def test_category_codes_of_brands(spark, code, expected):
-    raw = table(spark, schemas.BRANDS, ("x", "B", code))
-    assert rows(silver.brands(raw), "category_code") == [(expected,)]
+def each(spark, schema, build, clean, cases, *columns):
+    """Clean one row per case and compare in order of the cases."""
+    raw = spark.createDataFrame([build(case[0]) for case in cases], schema)
+    numbered = raw.coalesce(1).withColumn("_n", F.monotonically_increasing_id())
+    got = clean(numbered).orderBy("_n").select(*columns).collect()
+    assert [tuple(r) for r in got] == [tuple(case[1:]) for case in cases]
+
+
+def test_category_codes_of_brands(spark):
+    cases = [("GROCERY", "GRCY"), ("BOOKS", "BKS"), ("TOYS", "TOY"), ("grocery", "grocery"), (None, None)]
+    each(spark, schemas.BRANDS, lambda code: ("x", "B", code), silver.brands, cases, "category_code")
 
 
 def test_category_case_variants_are_one_category(spark):
@@ -59,16 +64,14 @@ def test_products(spark):
     )]
 
 
-@pytest.mark.parametrize("text, grams", [("250g", 250), ("250", 250), ("g", None), ("", None), (None, None)])
-def test_weight(spark, text, grams):
-    raw = table(spark, schemas.PRODUCTS, product(weight_grams=text))
-    assert rows(silver.products(raw), "weight_grams") == [(grams,)]
+def test_weight(spark):
+    cases = [("250g", 250), ("250", 250), ("g", None), ("", None), (None, None)]
+    each(spark, schemas.PRODUCTS, lambda t: product(weight_grams=t), silver.products, cases, "weight_grams")
 
 
-@pytest.mark.parametrize("code, name", [("stcr", "SteelCraft"), ("STCR", "STCR"), ("zzzz", "zzzz"), (None, None)])
-def test_brand_codes_of_products(spark, code, name):
-    raw = table(spark, schemas.PRODUCTS, product(brand_code=code))
-    assert rows(silver.products(raw), "brand_code") == [(name,)]
+def test_brand_codes_of_products(spark):
+    cases = [("stcr", "SteelCraft"), ("STCR", "STCR"), ("zzzz", "zzzz"), (None, None)]
+    each(spark, schemas.PRODUCTS, lambda c: product(brand_code=c), silver.products, cases, "brand_code")
 
 
 def test_bad_length_and_missing_rating_become_null(spark):
@@ -103,10 +106,9 @@ def item(**changes):
     return tuple({**base, **changes}.values())
 
 
-@pytest.mark.parametrize("text, number", [("Two", 2), ("3", 3), ("x1", None), ("two", None), (None, None)])
-def test_quantity(spark, text, number):
-    cleaned = silver.clean_order_items(table(spark, ITEM, item(quantity=text)))
-    assert rows(cleaned, "quantity") == [(number,)]
+def test_quantity(spark):
+    cases = [("Two", 2), ("3", 3), ("x1", None), ("two", None), (None, None)]
+    each(spark, ITEM, lambda q: item(quantity=q), silver.clean_order_items, cases, "quantity")
 
 
 def test_money_percent_and_coupon(spark):
@@ -114,9 +116,9 @@ def test_money_percent_and_coupon(spark):
     assert rows(cleaned, "unit_price", "discount_pct", "tax_amount", "coupon_code") == [(19.99, 10.0, 1.5, "save")]
 
 
-@pytest.mark.parametrize("raw, name", [("web", "Website"), ("app", "Mobile"), ("Web", "Web"), (" web", " web")])
-def test_channel(spark, raw, name):
-    assert rows(silver.clean_order_items(table(spark, ITEM, item(channel=raw))), "channel") == [(name,)]
+def test_channel(spark):
+    cases = [("web", "Website"), ("app", "Mobile"), ("Web", "Web"), (" web", " web"), (None, None)]
+    each(spark, ITEM, lambda c: item(channel=c), silver.clean_order_items, cases, "channel")
 
 
 def test_gold_amounts(spark):
@@ -134,48 +136,41 @@ def test_gold_net_amount_is_null_when_a_part_is(spark):
     assert rows(sold, "gross_amount", "net_amount")[0][1] is None
 
 
-@pytest.mark.parametrize("coupon, flag", [(None, 0), ("save", 1), ("", 1), ("  ", 1)])
-def test_coupon_flag(spark, coupon, flag):
-    sold = gold.order_items(silver.clean_order_items(table(spark, ITEM, item(coupon_code=coupon))))
-    assert rows(sold, "coupon_flag") == [(flag,)]
+def test_coupon_flag(spark):
+    for coupon, flag in [(None, 0), ("save", 1), ("  ", 1)]:
+        sold = gold.order_items(silver.clean_order_items(table(spark, ITEM, item(coupon_code=coupon))))
+        assert rows(sold, "coupon_flag") == [(flag,)]
 
 
-@pytest.mark.parametrize(
-    "returned, days, within, late",
-    [
-        ("2024-01-16 23:00:00", 15, 1, 0),
-        ("2024-01-17 00:00:00", 16, 0, 1),
-        ("2023-12-31 00:00:00", -1, 1, 0),
-        (None, None, 0, 0),
-        ("soon", None, 0, 0),
-    ],
-)
-def test_returns(spark, returned, days, within, late):
-    raw = table(
+def test_returns(spark):
+    cases = [
+        ("2024-01-16 23:00:00", 20240101, 15, 1, 0, "DAMAGED"),
+        ("2024-01-17 00:00:00", 20240101, 16, 0, 1, "DAMAGED"),
+        ("2023-12-31 00:00:00", 20240101, -1, 1, 0, "DAMAGED"),
+        (None, 20240101, None, 0, 0, "DAMAGED"),
+        ("soon", 20240101, None, 0, 0, "DAMAGED"),
+    ]
+    each(
         spark, "order_id bigint, order_dt string, return_ts string, reason string",
-        (1, "2024-01-01", returned, " damaged "),
+        lambda returned: (1, "2024-01-01", returned, " damaged "),
+        lambda raw: gold.order_returns(silver.clean_order_returns(raw)), cases,
+        "date_id", "return_days", "within_policy", "is_late_return", "reason",
     )
-    enriched = gold.order_returns(silver.clean_order_returns(raw))
-    assert rows(enriched, "date_id", "return_days", "within_policy", "is_late_return", "reason") == [
-        (20240101, days, within, late, "DAMAGED"),
-    ]
 
 
-@pytest.mark.parametrize(
-    "carrier, day, group, weekend",
-    [
-        (" bluedart ", "2024-01-06", "Domestic", True),
-        ("DHL", "2024-01-07", "International", True),
-        (None, "2024-01-08", "International", False),
-        ("ecomexpress", None, "Domestic", False),
-    ],
-)
-def test_shipments(spark, carrier, day, group, weekend):
-    raw = table(
-        spark, "order_id bigint, shipment_id int, order_dt string, carrier string", (1, 1, day, carrier)
+def test_shipments(spark):
+    cases = [
+        ((" bluedart ", "2024-01-06"), "Domestic", True),
+        (("DHL", "2024-01-07"), "International", True),
+        ((None, "2024-01-08"), "International", False),
+        (("ecomexpress", None), "Domestic", False),
+    ]
+    each(
+        spark, "order_id bigint, shipment_id int, order_dt string, carrier string",
+        lambda case: (1, 1, case[1], case[0]),
+        lambda raw: gold.order_shipments(silver.clean_order_shipments(raw)), cases,
+        "carrier_group", "is_weekend_shipment",
     )
-    enriched = gold.order_shipments(silver.clean_order_shipments(raw))
-    assert rows(enriched, "carrier_group", "is_weekend_shipment") == [(group, weekend)]
 
 
 def test_region_map_has_35_rows_and_unknown_states_are_other(spark):

@@ -45,12 +45,17 @@ def spelled_quantity(text: Column) -> Column:
     return F.when(text == "Two", F.lit(2)).otherwise(whole_number(text))
 
 
+def without(text: Column, mark: str) -> Column:
+    """Plain replacement: several times faster than a pattern or ``translate``."""
+    return F.replace(text, F.lit(mark), F.lit(""))
+
+
 def dollar_amount(text: Column) -> Column:
-    return F.translate(text, "$", "").try_cast("double")
+    return without(text, "$").try_cast("double")
 
 
 def percentage(text: Column) -> Column:
-    return F.translate(text, "%", "").try_cast("double")
+    return without(text, "%").try_cast("double")
 
 
 def without_unit(text: Column) -> Column:
@@ -59,7 +64,7 @@ def without_unit(text: Column) -> Column:
 
 
 def decimal_comma(text: Column) -> Column:
-    return F.translate(text, ",", ".").try_cast("float")
+    return F.replace(text, F.lit(","), F.lit(".")).try_cast("float")
 
 
 def recoded(value: Column, names: dict[str, str]) -> Column:

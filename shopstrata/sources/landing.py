@@ -59,15 +59,20 @@ def landing_files(spark: SparkSession, landing: str, pattern: str = "*.csv") ->
 def stream_landing_files(
     spark: SparkSession, landing: str, pattern: str = "*.csv", max_files: int = 1000
 ) -> DataFrame:
-    """A stream of newly arrived paths, files already there included."""
+    """A stream of newly arrived paths, files already there included.
+
+    By default a file stream passes over files a week older than the newest it has
+    seen; a late delivery that kept its old time would be lost.
+    """
     reader = _file_reader(spark.readStream, pattern).option("maxFilesPerTrigger", max_files)
-    return reader.load(landing).select("path")
+    return reader.option("maxFileAge", "36500d").load(landing).select("path")
 
 
 def _file_reader(reader, pattern: str):
     return (
         reader.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
     )
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shopstrata import storage
 
@@ -66,20 +67,37 @@ def dedup_stream(
     keys: Sequence[str],
     event_time: str | None = None,
     delay: str | None = None,
-    spread: int = 0,
+    thin: bool = True,
 ) -> DataFrame:
     """First arrival per key, remembered in the checkpoint across runs.
 
     Without an event time every key is remembered for ever. With one, a key is
-    forgotten ``delay`` after it was seen, which bounds the state. ``spread`` first
-    drops repeats within that many groups of input tasks, so the rows of a very
-    frequent key meet in one task only after they have been thinned out.
+    forgotten ``delay`` after it was seen, which bounds the state. ``thin`` drops
+    repeats inside each input task first, so that the rows of a very frequent key
+    are few by the time they meet in one task.
 
     The fact tables need none of this: there the table itself is the memory.
     """
+    if thin:
+        stream = without_near_repeats(stream, keys)
     if event_time is not None:
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-    if spread:
-        salted = stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
-        stream = salted.dropDuplicates([*keys, "_salt"]).drop("_salt")
     return stream.dropDuplicates(list(keys))
+
+
+def without_near_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The first row of each key in every Arrow batch: a map-side combine.
+
+    Spark's streaming deduplication shuffles every row, and no built-in operator may
+    reduce a stream before it without keeping state of its own.
+    """
+    names = list(keys)
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key_table = pa.table({n: batch.column(n) for n in names})
+            numbered = key_table.append_column("_row", pa.array(np.arange(batch.num_rows)))
+            first = numbered.group_by(names).aggregate([("_row", "min")]).column("_row_min")
+            yield batch.take(first.combine_chunks().sort())
+
+    return df.mapInArrow(combine, df.schema)

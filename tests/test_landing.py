@@ -1,5 +1,7 @@
 """Raw files: headers, inferred schemas and values that do not fit."""
 
+import os
+import time
 from pathlib import Path
 
 import pytest
@@ -95,6 +97,16 @@ def test_each_file_is_read_once(drop):
     assert rows(log.read(), "k", BATCH) == [(1, 0), (3, 1)]
 
 
+def test_late_files_with_old_times_and_subfolders(drop):
+    drop.file("a.csv", "k,v\n1,2\n")
+    drop.ingest()
+    (drop.folder / "2024" / "01").mkdir(parents=True)
+    drop.file("2024/01/b.csv", "k,v\n3,4\n")
+    month_ago = time.time() - 30 * 86400
+    os.utime(drop.folder / "2024" / "01" / "b.csv", (month_ago, month_ago))
+    assert rows(drop.ingest().read(), "k") == [(1,), (3,)]
+
+
 def test_max_files_bounds_a_batch(drop):
     for n in range(3):
         drop.file(f"{n}.csv", f"k,v\n{n},0\n")

@@ -10,7 +10,7 @@ from shopstrata.operators.latest import latest_per_key
 from shopstrata.plans import gold, silver
 from shopstrata.streaming.facts import bronze_to_silver, silver_to_gold
 from shopstrata.streaming.ingest import bronze_log
-from shopstrata.streaming.runner import append_stream, dedup_stream, drain, stream_table
+from shopstrata.streaming.runner import append_stream, dedup_stream, drain, stream_table, without_near_repeats
 
 SCHEMA = "order_id bigint, shipment_id int, order_dt string, carrier string"
 KEYS = ["order_id", "shipment_id"]
@@ -83,13 +83,13 @@ def test_a_failed_batch_is_delivered_again_without_double_effect(spark, tmp_path
     assert table.changes().count() == changes and table.log.numbers() == [0]
 
 
-@pytest.mark.parametrize("spread", [0, 4])
-def test_dedup_remembers_keys_across_runs(spark, tmp_path, spread):
+@pytest.mark.parametrize("thin", [False, True])
+def test_dedup_remembers_keys_across_runs(spark, tmp_path, thin):
     source, out = f"{tmp_path}/in", f"{tmp_path}/out"
     for value in (1, 2):
         spark.createDataFrame([(7, value), (8, value), (value + 100, value)], "k int, v int").repartition(3) \
             .write.mode("append").parquet(source)
-        append_stream(dedup_stream(stream_table(spark, source), ["k"], spread=spread), out, f"{tmp_path}/c")
+        append_stream(dedup_stream(stream_table(spark, source), ["k"], thin=thin), out, f"{tmp_path}/c")
     assert rows(spark.read.parquet(out)) == [(7, 1), (8, 1), (101, 1), (102, 2)]
 
 
@@ -109,3 +109,13 @@ def test_append_is_exactly_once_over_runs(spark, tmp_path):
         append_stream(stream_table(spark, source), out, f"{tmp_path}/c")
         append_stream(stream_table(spark, source), out, f"{tmp_path}/c")
     assert rows(spark.read.parquet(out)) == [(n,) for n in range(30)]
+
+
+def test_thinning_keeps_a_row_of_every_key(spark):
+    df = spark.range(50_000, numPartitions=3).selectExpr(
+        "if(id % 3 = 0, 7, if(id % 5 = 0, null, id)) AS k", "cast(id AS string) AS l", "timestamp_seconds(id) AS at"
+    )
+    thin = without_near_repeats(df, ["k"])
+    assert thin.schema == df.schema
+    assert thin.select("k").distinct().count() == df.select("k").distinct().count()
+    assert thin.filter("k = 7").count() < 20 and thin.join(df, ["l", "at"]).count() == thin.count()

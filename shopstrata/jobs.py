@@ -13,12 +13,14 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from shopstrata import schemas
 from shopstrata.lake import Lake
 from shopstrata.operators.keyed_table import KeyedTable
 from shopstrata.operators.quality import require_unique
+from shopstrata.operators.snapshots import SnapshotTable
 from shopstrata.plans import gold, silver, summary
 from shopstrata.session import build_session
 from shopstrata.sources.csv import scan_with_schema, with_lineage
@@ -47,16 +49,21 @@ DIMENSIONS = {
 }
 
 
+def replace(table: SnapshotTable, rows: DataFrame, keep_columns: bool = True) -> None:
+    table.overwrite(rows, keep_columns)
+    table.vacuum()
+
+
 def load_bronze_dimension(lake: Lake, name: str) -> None:
     spec = DIMENSIONS[name]
     raw = scan_with_schema(lake.spark, f"{lake.landing(spec.folder)}/*.csv", spec.schema)
-    lake.snapshot("bronze", name).overwrite(with_lineage(raw, spec.file_column, spec.time_column))
+    replace(lake.snapshot("bronze", name), with_lineage(raw, spec.file_column, spec.time_column))
 
 
 def build_silver_dimension(lake: Lake, name: str) -> None:
     spec = DIMENSIONS[name]
     rows = spec.clean(lake.snapshot("bronze", name).read())
-    lake.snapshot("silver", name).overwrite(rows, keep_columns=spec.same_schema)
+    replace(lake.snapshot("silver", name), rows, keep_columns=spec.same_schema)
 
 
 def build_gold_dimensions(lake: Lake) -> None:
@@ -73,7 +80,7 @@ def build_gold_dimensions(lake: Lake) -> None:
         "dim_date": gold.dates(calendar),
     }
     for name, rows in dimensions.items():
-        lake.snapshot("gold", name).overwrite(rows, keep_columns=False)
+        replace(lake.snapshot("gold", name), rows, keep_columns=False)
 
 
 def dimensions(lake: Lake) -> None:
@@ -113,6 +120,7 @@ def fact_flow(lake: Lake, name: str, max_files: int = 1000) -> None:
 
 def daily_summary(lake: Lake) -> None:
     summary.refresh_daily_summary(lake.gold_order_items().read(), lake.daily_summary())
+    lake.daily_summary().vacuum()
 
 
 JOBS: dict[str, Callable[[Lake], None]] = {

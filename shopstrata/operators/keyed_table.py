@@ -71,7 +71,7 @@ class KeyedTable:
         match_null_keys: bool = False,
         sort_by: Sequence[str] = (),
         bucket_bytes: int = 256 << 20,
-        settle_share: float = 0.5,
+        settle_share: float = 0.25,
         settle_bytes: int = 64 << 20,
     ):
         if keep not in KEEP_RULES:
@@ -359,7 +359,12 @@ class KeyedTable:
         return f"shopstrata_{hashlib.md5(snapshot.path.encode()).hexdigest()}"
 
     def vacuum(self, keep: int = 2) -> None:
-        """Drop snapshots older than the newest ``keep``. The change feed is never shortened."""
+        """Drop snapshots older than the newest ``keep`` and leftovers of failed writes.
+
+        Called by the writer, between writes. The change feed is never shortened.
+        """
+        for path in (self.path, self.log.path):
+            storage.remove(self.spark, f"{path}/_staging")
         for snapshot in self.snapshots()[:-keep]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(snapshot)}")
             storage.remove(self.spark, snapshot.path)

@@ -78,6 +78,10 @@ class SnapshotTable:
         return number
 
     def vacuum(self, keep: int = 2) -> None:
-        """Drop versions older than the newest ``keep``; running readers need the newest few."""
+        """Drop versions older than the newest ``keep`` and leftovers of failed writes.
+
+        Called by the writer, between writes; running readers need the newest few versions.
+        """
+        storage.remove(self.spark, f"{self.path}/_staging")
         for number in self.versions()[:-keep]:
             storage.remove(self.spark, f"{self.path}/v={number}")

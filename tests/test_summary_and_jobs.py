@@ -70,6 +70,34 @@ def test_window_bound_reaches_the_scan(spark, tmp_path):
     assert "transaction_date#" in scan.split("DataFilters:")[1] and "subquery" in scan.split("DataFilters:")[1]
 
 
+def scanned_rows(plan) -> list[int]:
+    """Rows that left each scan of an executed plan, adaptive stages included."""
+    found = []
+    if "Scan" in plan.nodeName():
+        found.append(plan.metrics().apply("numOutputRows").value())
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        below.append(plan.executedPlan())
+    elif plan.nodeName().endswith("QueryStage"):
+        below.append(plan.plan())
+    return found + [n for child in below for n in scanned_rows(child)]
+
+
+def test_window_skips_row_groups_of_the_gold_table(spark, lake):
+    sales = [sale(d, n=1000 * i + j) for i, d in enumerate(days(dt.date(2020, 1, 1), 400)) for j in range(40)]
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("parquet.block.size", "20000")  # many row groups in a small table
+    try:
+        table = lake.gold_order_items()
+        table.upsert(spark.createDataFrame(sales, GOLD))
+        table.settle()
+    finally:
+        settings.unset("parquet.block.size")
+    totals = summary.daily_summary(summary.recent(table.read()))
+    assert len(totals.collect()) == 31
+    assert sum(scanned_rows(totals._jdf.queryExecution().executedPlan())) < len(sales) / 3
+
+
 def write(root: Path, entity: str, name: str, text: str):
     folder = root / "raw" / "raw_landing" / entity
     folder.mkdir(parents=True, exist_ok=True)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -123,9 +124,9 @@ def daily_summary(lake: Lake) -> None:
     lake.daily_summary().vacuum()
 
 
-JOBS: dict[str, Callable[[Lake], None]] = {
+JOBS: dict[str, Callable[..., None]] = {
     "dimensions": dimensions,
-    **{name: (lambda lake, name=name: fact_flow(lake, name)) for name in FACTS},
+    **{name: partial(fact_flow, name=name) for name in FACTS},
     "summary": daily_summary,
 }
 
@@ -133,11 +134,13 @@ JOBS: dict[str, Callable[[Lake], None]] = {
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("--root", required=True, help="folder of the lake")
+    parser.add_argument("--max-files", type=int, default=1000, help="most files in one stream batch")
     parser.add_argument("jobs", nargs="+", choices=[*JOBS, "all"])
     options = parser.parse_args(arguments)
     lake = Lake(build_session(), options.root)
     for job in JOBS if "all" in options.jobs else options.jobs:
-        JOBS[job](lake)
+        more = {"max_files": options.max_files} if job in FACTS else {}
+        JOBS[job](lake, **more)
 
 
 if __name__ == "__main__":

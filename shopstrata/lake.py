@@ -15,6 +15,12 @@ from shopstrata.streaming.ingest import bronze_log
 LAYERS = ("raw", "bronze", "silver", "gold")
 PREFIX = {"bronze": "brz_", "silver": "slv_", "gold": "gld_"}
 
+DIMENSION_TABLES = {
+    "bronze": ("brands", "category", "products", "customers", "calendar"),
+    "silver": ("brands", "category", "products", "customers", "calendar"),
+    "gold": ("dim_products", "dim_customers", "dim_date"),
+}
+
 
 class Lake:
     """Paths, tables and checkpoints; the root replaces catalog and storage settings."""
@@ -80,3 +86,25 @@ class Lake:
     def publish(self, layer: str, name: str, rows: DataFrame) -> None:
         """Give current rows a name for SQL in this session, such as ``gld_dim_products``."""
         rows.createOrReplaceTempView(f"{PREFIX[layer]}{name}")
+
+    def publish_all(self) -> list[str]:
+        """Name the current rows of every table there is; returns the names."""
+        tables: dict[tuple[str, str], SnapshotTable | KeyedTable] = {
+            (layer, name): self.snapshot(layer, name)
+            for layer, names in DIMENSION_TABLES.items() for name in names
+        }
+        tables |= {
+            ("silver", "order_items"): self.silver_order_items(),
+            ("silver", "order_returns"): self.silver_order_returns(),
+            ("silver", "order_shipments"): self.silver_order_shipments(),
+            ("gold", "fact_order_items"): self.gold_order_items(),
+            ("gold", "order_returns"): self.gold_order_returns(),
+            ("gold", "order_shipments"): self.gold_order_shipments(),
+            ("gold", "fact_daily_orders_summary"): self.daily_summary(),
+        }
+        published = []
+        for (layer, name), table in tables.items():
+            if table.exists():
+                self.publish(layer, name, table.read())
+                published.append(f"{PREFIX[layer]}{name}")
+        return published

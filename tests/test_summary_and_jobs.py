@@ -161,9 +161,10 @@ def test_all_jobs_twice_then_new_files(spark, root):
         ITEMS + "1,2,C1,P1,2024-01-07,2024-01-07 10:00:00,app,,USD,4,$19.99,0%,0\n"
         "2,1,C1,P1,2024-01-07,2024-01-07 11:00:00,app,,USD,lots,$1.00,0%,0\n",
     )
-    jobs.fact_flow(lake, "order_items")
-    jobs.daily_summary(lake)
+    jobs.main(["--root", str(root), "--max-files", "10", "order_items", "summary"])
     assert rows(lake.gold_order_items().read(), "transaction_id", "seq_no", "quantity") == [
         (1, 1, 2), (1, 2, 4), (2, 1, None),
     ]
     assert rows(lake.daily_summary().read(), "date_id", "total_quantity") == [(20240106, 2), (20240107, 4)]
+    assert len(lake.publish_all()) == 5 + 5 + 3 + 7
+    assert spark.sql("SELECT count(*) FROM gld_fact_order_items JOIN gld_dim_products USING (product_id)").first()[0] == 3

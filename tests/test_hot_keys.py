@@ -1,4 +1,4 @@
-"""One order, and one exact row, hold a third of all lines: same results, and the join is split."""
+"""One exact row holds a third of all lines and one order a fifth: same results, and the join is split."""
 
 from pathlib import Path
 

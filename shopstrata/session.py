@@ -42,15 +42,27 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors share one machine's disk by construction."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach.
+    """A fresh folder every executor can reach, removed when the driver's JVM ends.
 
-    It lies below ``spark.checkpoint.dir`` where the cluster names one. Only when
-    that is unset (a single machine, tests) is a local temporary folder made.
+    It lies below ``spark.checkpoint.dir``. Where that is unset, a temporary folder is
+    made if the session runs in one process (tests); on a cluster executors would then
+    write to disks of their own, so the call is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        folder = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        return folder
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix=f"{label}-")
     atexit.register(shutil.rmtree, local, ignore_errors=True)
     return local

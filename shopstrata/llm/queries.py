@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import chat_format, exact_dedup, sharding
+from shopstrata.llm import bpe, chat_format, exact_dedup, sharding, toxicity
 
 QUERIES = {
+    "op3_bpe": bpe.query,
     "op5_chat_format": chat_format.query,
+    "op7_toxicity": toxicity.query,
     "op9_sharding": sharding.query,
     "op10_exact_dedup": exact_dedup.query,
 }

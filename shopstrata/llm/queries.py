@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, exact_dedup, sharding, toxicity
+from shopstrata.llm import bpe, chat_format, exact_dedup, mixing, sharding, toxicity
 
 QUERIES = {
+    "op2_mixing": mixing.query,
     "op3_bpe": bpe.query,
     "op5_chat_format": chat_format.query,
     "op7_toxicity": toxicity.query,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_mixing": mixing.SQL,
     "op5_chat_format": chat_format.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
 }

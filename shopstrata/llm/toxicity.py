@@ -1,7 +1,7 @@
 """Toxicity: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features of a text are the distinct buckets of its words, word pairs and pairs with one word
-left out, lower-cased, words being runs of letters and digits. Per-coordinate rates and an L1
+Features of a text are the distinct buckets of its words, their stems (the first five bytes),
+word pairs and pairs with one word left out, lower-cased, words being runs of letters and digits. Per-coordinate rates and an L1
 term leave few weights other than zero, so the model is a small table that is broadcast.
 
 The fit takes at most ``SAMPLE`` labelled rows, chosen by a hash of their id (a documented
@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from shopstrata.llm.scratch import Scratch, documents
 from shopstrata.llm.words import NO_LETTERS, hash_windows, hash_words, mix, text_slices, words_of
 
-SAMPLE = 10_000  # most labelled rows in a fit
+SAMPLE = 20_000  # most labelled rows in a fit
 BITS = 20  # buckets: 2 ** BITS
+STEM = 5
 EPOCHS = 5
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 1.0
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 1.0
 THRESHOLD = 0.3
 FOLDS, HELD = 4, 2
 
@@ -36,6 +37,10 @@ def buckets(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     words = words_of(texts, lower=True, separators=NO_LETTERS)
     hashes, owner = hash_words(words), words.owner()
     found, owners = [hashes], [owner]
+    long = words.ends - words.starts > STEM
+    stems = words._replace(starts=words.starts[long], ends=words.starts[long] + STEM)
+    found.append(~hash_words(stems))
+    owners.append(owner[long])
     pairs = hash_windows(hashes, 2)
     inner = owner[1:] == owner[:-1]
     found.append(pairs[inner[:len(pairs)]])

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, exact_dedup, mixing, sharding, toxicity
+from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, sharding, toxicity
 
 QUERIES = {
     "op2_mixing": mixing.query,
     "op3_bpe": bpe.query,
     "op5_chat_format": chat_format.query,
     "op7_toxicity": toxicity.query,
+    "op8_hmm": hmm.query,
     "op9_sharding": sharding.query,
     "op10_exact_dedup": exact_dedup.query,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, sharding, toxicity
+from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, sharding, substring, toxicity
 
 QUERIES = {
+    "op1_substring": substring.query,
     "op2_mixing": mixing.query,
     "op3_bpe": bpe.query,
     "op5_chat_format": chat_format.query,

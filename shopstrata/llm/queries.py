@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, sharding, substring, toxicity
+from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, near_dedup, sharding, substring, toxicity
 
 QUERIES = {
     "op1_substring": substring.query,
     "op2_mixing": mixing.query,
     "op3_bpe": bpe.query,
+    "op4_near_dedup": near_dedup.query,
     "op5_chat_format": chat_format.query,
     "op7_toxicity": toxicity.query,
     "op8_hmm": hmm.query,

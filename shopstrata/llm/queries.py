@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, exact_dedup, hmm, mixing, near_dedup, sharding, substring, toxicity
+from shopstrata.llm import bpe, chat_format, embedding_dedup, exact_dedup, hmm, mixing, near_dedup, sharding, substring, toxicity
 
 QUERIES = {
     "op1_substring": substring.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.query,
     "op4_near_dedup": near_dedup.query,
     "op5_chat_format": chat_format.query,
+    "op6_embedding_dedup": embedding_dedup.query,
     "op7_toxicity": toxicity.query,
     "op8_hmm": hmm.query,
     "op9_sharding": sharding.query,

@@ -21,7 +21,7 @@ from shopstrata.llm.scratch import Scratch, documents, word_count
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 SHARE = 1.5  # budget as a share of all sizes
 REPEATS = 2  # most times that a document is taken
-RUN_ROWS = 50_000
+RUN_ROWS = 10_000  # rows that are summed together; a run stays about this long at any size
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -57,7 +57,7 @@ def shuffle_key(doc_id: Column) -> Column:
 
 def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = SHARE) -> DataFrame:
-    """(id, source, size, source_size, target, times) for every row.
+    """(id, mark, source, size, source_size, target, times) for every row; ``mark`` is a hash of the text.
 
     ``times`` says how often the mix takes the whole document: 0, 1 or 2. Null texts have size 0
     and are never taken; null sources form one source, last in order. Rows that repeat are
@@ -65,7 +65,7 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     """
     sized = scratch.table(docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("id"),
-        F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.xxhash64(text_col).alias("mark"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         shuffle_key(F.col(id_col)).alias("_key")), "sized")
     runs = max(1, -(-sized.count() // RUN_ROWS))
     sized = sized.withColumn(
@@ -107,10 +107,23 @@ def mix(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str
     )
     sized = sized.join(taken, "_row", "left")
     return sized.join(goal, sized["source"].eqNullSafe(goal["source"])).select(
-        "_row", "id", sized["source"].alias("source"), "size", "source_size", "target",
+        "id", "mark", sized["source"].alias("source"), "size", "source_size", "target",
         F.coalesce("times", F.lit(0)).cast("int").alias("times"))
 
 
+def mixed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The mix itself: rows of ``docs`` with all columns, each as often as it is taken.
+
+    Rows that repeat both id and text count as often as the one taken most.
+    """
+    found = mix(docs, scratch, id_col, text_col).where("times > 0")
+    found = scratch.table(found.groupBy("id", "mark").agg(F.max("times").alias("times")), "taken")
+    marked = docs.withColumn("_mark", F.xxhash64(text_col))
+    same = marked[id_col].eqNullSafe(found["id"]) & (marked["_mark"] == found["mark"])
+    return marked.join(found, same).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*[marked[c] for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir), Scratch(spark, "mixing")).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))

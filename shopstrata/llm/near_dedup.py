@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.llm.components import components
@@ -300,9 +300,24 @@ def confirm(members: DataFrame, percent: int, keys: list[str]) -> DataFrame:
     return members.mapInArrow(work, "a bigint, b bigint")
 
 
+def text_mark(text: Column) -> Column:
+    """Tells rows that share an id apart."""
+    return (F.xxhash64(text) % (1 << 31)).cast("int")
+
+
+def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
+                         percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay, all columns unchanged: the smallest id of each group."""
+    found = near_duplicates(docs, scratch, id_col, text_col, percent)
+    gone = scratch.table(found.where("NOT kept").select("id", "mark").distinct(), "gone")
+    marked = docs.withColumn("_mark", text_mark(F.col(text_col)))
+    same = marked[id_col].eqNullSafe(gone["id"]) & (marked["_mark"] == gone["mark"])
+    return marked.join(gone, same, "left_anti").select(docs.columns)
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
                     percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row.
+    """(id, mark, n_shingles, component_id, kept) for every row; ``mark`` is a hash of the text.
 
     Two texts are linked when 100 * common shingles >= percent * all shingles of both, on distinct
     3-word shingles of the lower-cased text (A-Z). ``component_id`` is the smallest id reachable
@@ -310,7 +325,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     sets, repeated rows included, are linked. A null id is passed over as the smallest.
     """
     given = docs.select(
-        F.col(id_col).alias("_id"), (F.xxhash64(text_col) % (1 << 31)).cast("int").alias("_mark"),
+        F.col(id_col).alias("_id"), text_mark(F.col(text_col)).alias("_mark"),
         F.col(text_col).alias("_text"))
     sketched = scratch.table(sketches(given), "sketches")
     classes = scratch.table(
@@ -375,10 +390,11 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = scratch.table(rooted.join(least, "root").select("digest", "component_id"), "named")
     component = F.when(F.col("digest").isNull(), F.col("_id")).otherwise(F.col("component_id"))
-    return sketched.select("_id", "n", "digest").join(named, "digest", "left").select(
-        F.col("_id").alias("id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return sketched.select("_id", "_mark", "n", "digest").join(named, "digest", "left").select(
+        F.col("_id").alias("id"), F.col("_mark").alias("mark"), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("_id").eqNullSafe(component).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), Scratch(spark, "near-dedup")).withColumnRenamed("id", "doc_id")
+    return near_duplicates(documents(spark, sf_dir), Scratch(spark, "near-dedup")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

@@ -131,32 +131,34 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
 
 
 def score(docs: DataFrame, model: tuple[float, list[tuple[int, float]]], text_col: str = "text",
-          made: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1; null and empty texts get that of the bias alone."""
+          made: str = "score", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) with a score from 0 to 1 in ``made``.
+
+    Null and empty texts get that of the bias alone. Repeated rows stay.
+    """
     bias, sparse = model
     weights = np.zeros(1 << BITS, np.float32)
     for at, weight in sparse:
         weights[at] = weight
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 4 MB at any size of the input
+    keep = docs.columns if keep is None else keep
 
     def work(batches):
         w = shared.value
         for batch in batches:
-            texts = batch.column("_text")
-            rest = batch.drop_columns(["_text"])
+            texts = batch.column(text_col)
             for low, high in text_slices(texts):
                 owner, bucket = buckets(texts.slice(low, high - low))
                 heavy = w[bucket] != 0
                 owner, bucket = distinct(owner[heavy], bucket[heavy])
                 sums = bias + np.bincount(owner, w[bucket].astype(float), high - low)
-                part = rest.slice(low, high - low)
+                part = batch.slice(low, high - low)
                 with np.errstate(over="ignore"):
                     out = pa.array(1.0 / (1.0 + np.exp(-sums)))
-                yield pa.RecordBatch.from_arrays([*part.columns, out], [*part.schema.names, made])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], out], [*keep, made])
 
-    given = docs.withColumn("_text", F.col(text_col))
-    schema = docs.select(*docs.columns, F.lit(0.0).alias(made)).schema
-    return given.mapInArrow(work, schema)
+    schema = docs.select(*keep, F.lit(0.0).alias(made)).schema
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(work, schema)
 
 
 def learned_model(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch):
@@ -169,6 +171,6 @@ def learned_model(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Sc
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = learned_model(spark, docs, sf_dir, Scratch(spark, "toxicity"))
-    return score(docs, model).select(
+    return score(docs, model, keep=["doc_id"]).select(
         "doc_id", (remainder(F.col("doc_id"), FOLDS) == HELD).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -14,6 +14,7 @@ is labelled with the last arc of the prefix read so far, so the path is read off
 from __future__ import annotations
 
 import json
+from array import array
 from functools import lru_cache
 from pathlib import Path
 
@@ -24,14 +25,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import documents
+from shopstrata.llm.scratch import documents, short_batches
 from shopstrata.llm.words import text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: how byte-level vocabularies of this family split text.
 SPLIT = regex.compile(public_tokenizers.PATTERN)
-STATES = 400_000  # states kept by a worker before its table starts anew
-WORDS = 200_000  # words in each of the two generations of a worker's caches
+STATES = 120_000  # states kept by a worker before its table starts anew
+WORDS = 50_000  # words, and chunks, in each of the two generations of a worker's caches
 
 
 def byte_characters() -> dict[str, int]:
@@ -91,48 +92,50 @@ class Merges:
 class Automaton:
     def __init__(self, merges: Merges):
         self.merges = merges
-        self.children: list[dict[int, int]] = [{}]
+        self.trie: dict[int, int] = {}  # (node, byte) to node
+        self.inner = bytearray(1)  # whether a node has nodes below
         self.token_at: dict[int, int] = {}
         for token in merges.tokens:
             if not merges.reached(token):
                 continue
             node = 0
             for byte in merges.texts[token]:
-                node = self.children[node].setdefault(byte, len(self.children))
-                if node == len(self.children):
-                    self.children.append({})
+                self.inner[node] = 1
+                node = self.trie.setdefault(node << 8 | byte, len(self.inner))
+                if node == len(self.inner):
+                    self.inner.append(0)
             self.token_at[node] = token
-        self.lengths = {t: len(merges.texts[t]) for t in merges.tokens}
-        self.decoder = [merges.texts.get(i, b"") for i in range(max(merges.texts) + 1)]
+        self.arcs = {t: (t.to_bytes(4, "little"), len(merges.texts[t])) for t in merges.tokens}
         self.special = regex.compile("|".join(map(regex.escape, merges.special))) if merges.special else None
         self.words = _Cache(lambda word: self.path(word.encode()))
         self.chunks = _Cache(self._chunk)
         self.restart()
 
     def restart(self) -> None:
-        self.numbers = {((0, -1),): 0}
-        self.states = [((0, -1),)]
+        # a state's places, each node << 32 | token before it + 1, as packed integers
+        self.states = [_pack([0])]
+        self.numbers = {self.states[0]: 0}
         self.labels = [(b"", 0)]
         self.table = _Transitions(self)
 
     def compile(self, state: int, byte: int) -> int:
         label, places = None, []
-        for node, before in self.states[state]:
-            node = self.children[node].get(byte)
+        for place in memoryview(self.states[state]).cast("q"):
+            node, before = self.trie.get(place >> 32 << 8 | byte), (place & 0xFFFFFFFF) - 1
             if node is None:
                 continue
             token = self.token_at.get(node)
             if label is None and token is not None and (before < 0 or self.merges.follows(before, token)):
                 label = token
-            if self.children[node]:
-                places.append((node, before))
+            if self.inner[node]:
+                places.append(node << 32 | before + 1)
         if label is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        key = (*places, (0, label))
+        key = _pack([*places, label + 1])
         number = self.numbers.setdefault(key, len(self.states))
         if number == len(self.states):
             self.states.append(key)
-            self.labels.append((label.to_bytes(4, "little"), self.lengths[label]))
+            self.labels.append(self.arcs[label])
         return number
 
     def path(self, word: bytes) -> bytes:
@@ -183,9 +186,20 @@ class Automaton:
         words = self.words
         return b"".join([words[w] for w in SPLIT.findall(" " + chunk)])
 
+
+class Labels:
+    """Texts of the tokens, for decoding: the concatenated arc labels of a path."""
+
+    def __init__(self, merges: Merges):
+        self.texts = [merges.texts.get(i, b"") for i in range(max(merges.texts) + 1)]
+
     def decode(self, ids: bytes) -> str:
-        """Concatenated arc labels; bytes that are no UTF-8 come out as U+FFFD."""
-        return b"".join(map(self.decoder.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        """Bytes that are no UTF-8 come out as U+FFFD."""
+        return b"".join(map(self.texts.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
+def _pack(places: list[int]) -> bytes:
+    return array("q", places).tobytes()
 
 
 class _Transitions(dict):
@@ -230,6 +244,11 @@ def _automaton(vocabulary: str) -> Automaton:
     return Automaton(Merges(vocabulary))
 
 
+@lru_cache(2)
+def _labels(vocabulary: str) -> Labels:
+    return Labels(Merges(vocabulary))
+
+
 def _batches(batches, column: str, made: str, kind: pa.DataType, work):
     for batch in batches:
         values = batch.column(column)
@@ -246,6 +265,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     Null and empty texts give no ids. Special tokens of the vocabulary are recognised inside
     texts; none are added. Other columns are left out; repeated rows stay.
     """
+    short_batches(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Path(path).read_text())  # a fixed file of about 1 MB
 
     def work(batches):
@@ -261,8 +281,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     vocabulary = encoded.sparkSession.sparkContext.broadcast(Path(path).read_text())
 
     def work(batches):
-        automaton = _automaton(vocabulary.value)
-        yield from _batches(batches, "_ids", "text", pa.string(), lambda ids: automaton.decode(ids or b""))
+        labels = _labels(vocabulary.value)
+        yield from _batches(batches, "_ids", "text", pa.string(), lambda ids: labels.decode(ids or b""))
 
     given = encoded.select("id", "ids", F.col("ids").alias("_ids"))
     return given.mapInArrow(work, f"id {dict(encoded.dtypes)['id']}, ids binary, text string")

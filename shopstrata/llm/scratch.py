@@ -35,6 +35,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand whole texts to Python in batches of so many rows; a batch lies in a worker's memory at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def word_count(text):
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text column; null has none."""
     inner = F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")

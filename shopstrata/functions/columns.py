@@ -97,9 +97,12 @@ def exact_total(amount: Column) -> Column:
 
     Whole units and millionths are summed as integers, which the engine adds in
     registers; a sum of decimals would be exact too, at several times the cost.
-    Amounts count to six decimals; a value that is no finite number is left out.
+    Amounts count to six decimals. NaN, infinite values and amounts beyond the range of
+    a long are added as doubles.
     """
     units = amount.try_cast("bigint")
     millionths = F.rint((amount - units) * 1_000_000).try_cast("bigint")
     total = F.sum(units).cast("decimal(25,6)") + F.sum(millionths).cast("decimal(19,0)") * MILLIONTH
-    return total.cast("double")
+    exact = total.cast("double")
+    others = F.sum(F.when(units.isNull(), amount))
+    return F.when(others.isNull(), exact).otherwise(others + F.coalesce(exact, F.lit(0.0)))

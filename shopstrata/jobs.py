@@ -24,7 +24,7 @@ from shopstrata.operators.quality import require_unique
 from shopstrata.operators.snapshots import SnapshotTable
 from shopstrata.plans import gold, silver, summary
 from shopstrata.session import build_session
-from shopstrata.sources.csv import scan_with_schema, with_lineage
+from shopstrata.sources.csv import scan_by_header, scan_with_schema, with_lineage
 from shopstrata.streaming.facts import FACTS, bronze_to_silver, silver_to_gold
 from shopstrata.streaming.ingest import ingest_landing
 
@@ -37,10 +37,11 @@ class Dimension:
     file_column: str
     time_column: str
     same_schema: bool = True  # silver keeps bronze's column types
+    by_header: bool = False  # columns are taken by name, in whatever order the file has them
 
 
 DIMENSIONS = {
-    "brands": Dimension("brands", schemas.BRANDS, silver.brands, "source_file", "ingested_at"),
+    "brands": Dimension("brands", schemas.BRANDS, silver.brands, "source_file", "ingested_at", by_header=True),
     "category": Dimension("category", schemas.CATEGORY, silver.category, "_source_file", "_ingested_at"),
     "products": Dimension("products", schemas.PRODUCTS, silver.products, "file_name", "ingest_timestamp"),
     "customers": Dimension("customers", schemas.CUSTOMERS, silver.customers, "file_name", "ingest_timestamp"),
@@ -57,7 +58,11 @@ def replace(table: SnapshotTable, rows: DataFrame, keep_columns: bool = True) ->
 
 def load_bronze_dimension(lake: Lake, name: str) -> None:
     spec = DIMENSIONS[name]
-    raw = scan_with_schema(lake.spark, f"{lake.landing(spec.folder)}/*.csv", spec.schema)
+    files = f"{lake.landing(spec.folder)}/*.csv"
+    if spec.by_header:
+        raw = scan_by_header(lake.spark, files, columns=spec.schema.names)
+    else:
+        raw = scan_with_schema(lake.spark, files, spec.schema)
     replace(lake.snapshot("bronze", name), with_lineage(raw, spec.file_column, spec.time_column))
 
 
@@ -104,7 +109,7 @@ def fact_flow(lake: Lake, name: str, max_files: int = 1000) -> None:
     fact = FACTS[name]
     ingest_landing(
         lake.spark, lake.landing(name), lake.path("bronze", name),
-        lake.checkpoint("bronze", name), max_files=max_files,
+        lake.checkpoint("bronze", name), max_files=max_files, texts=fact.texts,
     )
     bronze = lake.bronze_facts(name)
     if not bronze.numbers():

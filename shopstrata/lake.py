@@ -10,8 +10,11 @@ from shopstrata import schemas
 from shopstrata.operators.commit_log import CommitLog
 from shopstrata.operators.keyed_table import KeyedTable
 from shopstrata.operators.snapshots import SnapshotTable
+from shopstrata.sources.landing import FILE_TIME, SOURCE_FILE
 from shopstrata.streaming.ingest import bronze_log
 
+NEWEST_FILE = (FILE_TIME, SOURCE_FILE)
+
 LAYERS = ("raw", "bronze", "silver", "gold")
 PREFIX = {"bronze": "brz_", "silver": "slv_", "gold": "gld_"}
 
@@ -22,6 +25,9 @@ DIMENSION_TABLES = {
 }
 
 
+FACT_NAMES = ("order_items", "order_returns", "order_shipments")
+
+
 class Lake:
     """Paths, tables and checkpoints; the root replaces catalog and storage settings."""
 
@@ -47,16 +53,17 @@ class Lake:
     def keyed(self, layer: str, name: str, keys: Sequence[str], **options) -> KeyedTable:
         return KeyedTable(self.spark, self.path(layer, name), keys, **options)
 
-    # Facts. Silver takes the later arrival of a key; gold follows silver's feed.
+    # Facts. Silver keeps the row of the newest file, whichever batch brings it, so the result
+    # is the same however files are cut into batches; gold follows silver's feed.
 
     def silver_order_items(self) -> KeyedTable:
-        return self.keyed("silver", "order_items", schemas.ORDER_ITEM_KEYS, order_by=["dt", "order_ts"])
+        return self.keyed("silver", "order_items", schemas.ORDER_ITEM_KEYS, order_by=[*NEWEST_FILE, "dt", "order_ts"], keep="greatest")
 
     def silver_order_returns(self) -> KeyedTable:
-        return self.keyed("silver", "order_returns", schemas.RETURN_KEYS, order_by=["return_ts"])
+        return self.keyed("silver", "order_returns", schemas.RETURN_KEYS, order_by=[*NEWEST_FILE, "return_ts"], keep="greatest")
 
     def silver_order_shipments(self) -> KeyedTable:
-        return self.keyed("silver", "order_shipments", schemas.SHIPMENT_KEYS, order_by=["order_dt"])
+        return self.keyed("silver", "order_shipments", schemas.SHIPMENT_KEYS, order_by=[*NEWEST_FILE, "order_dt"], keep="greatest")
 
     def gold_order_items(self) -> KeyedTable:
         # Sorted by date inside each file: the summary's window then skips row groups.
@@ -89,10 +96,11 @@ class Lake:
 
     def publish_all(self) -> list[str]:
         """Name the current rows of every table there is; returns the names."""
-        tables: dict[tuple[str, str], SnapshotTable | KeyedTable] = {
+        tables: dict[tuple[str, str], SnapshotTable | KeyedTable | CommitLog] = {
             (layer, name): self.snapshot(layer, name)
             for layer, names in DIMENSION_TABLES.items() for name in names
         }
+        tables |= {("bronze", name): self.bronze_facts(name) for name in FACT_NAMES}
         tables |= {
             ("silver", "order_items"): self.silver_order_items(),
             ("silver", "order_returns"): self.silver_order_returns(),
@@ -104,7 +112,7 @@ class Lake:
         }
         published = []
         for (layer, name), table in tables.items():
-            if table.exists():
+            if table.numbers() if isinstance(table, CommitLog) else table.exists():
                 self.publish(layer, name, table.read())
                 published.append(f"{PREFIX[layer]}{name}")
         return published

@@ -75,7 +75,8 @@ class CommitLog:
         return reader.parquet(*[self.folder(n) for n in wanted])
 
     def stream(self, max_files: int | None = None) -> DataFrame:
-        reader = self.spark.readStream.schema(self._numbered(self.schema()))
+        # by default files a week older than the newest would be passed over
+        reader = self.spark.readStream.schema(self._numbered(self.schema())).option("maxFileAge", "36500d")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path)

@@ -17,7 +17,7 @@ def any_null(keys: Sequence[str]) -> Column:
 
 def precedence(columns: Sequence[str], keys: Sequence[str], order_by: Sequence[str]) -> list[str]:
     """Columns that decide which row of a key is the greatest: ``order_by``, then all others."""
-    first = [c for c in order_by if c not in keys]
+    first = [c for c in order_by if c in columns and c not in keys]
     return first + [c for c in columns if c not in keys and c not in first]
 
 
@@ -33,15 +33,18 @@ def latest_per_key(
     key: a key holding a third of the table reaches its reducer as a handful of rows.
 
     ``null_keys="each"`` keeps every row whose key has a null, as a keyed merge does;
-    such rows get a key of their own, which also spreads them over all partitions.
+    such rows take no part in the aggregation. Columns of ``order_by`` that ``df`` lacks
+    are passed over.
     """
+    if null_keys == "each":
+        lone = any_null(keys)
+        matched = latest_per_key(df.filter(~lone), keys, order_by)
+        return matched.unionByName(df.filter(lone))
+    if null_keys != "group":
+        raise ValueError(f"null_keys must be 'group' or 'each', not {null_keys!r}")
     columns = df.columns
     ordered = precedence(columns, keys, order_by)
     grouping = [named(k) for k in keys]
-    if null_keys == "each":
-        grouping.append(F.when(any_null(keys), F.monotonically_increasing_id()).alias("_lone_row"))
-    elif null_keys != "group":
-        raise ValueError(f"null_keys must be 'group' or 'each', not {null_keys!r}")
     grouped = df.groupBy(*grouping).agg(F.max(F.struct(*map(named, ordered or keys))).alias("_top"))
     return grouped.select(
         *[named(c) if c in keys else F.col("_top").getField(c).alias(c) for c in columns]

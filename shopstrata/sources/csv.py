@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def scan_by_header(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Every column as a string, named by the header. ``path`` may be a glob."""
-    return spark.read.option("header", True).option("delimiter", delimiter).csv(path)
+def scan_by_header(
+    spark: SparkSession, path: str, delimiter: str = ",", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Every column, or those named, as a string under its header's name. ``path`` may be a glob.
+
+    Files are expected to share one header.
+    """
+    found = spark.read.option("header", True).option("delimiter", delimiter).csv(path)
+    return found if columns is None else found.select(*columns)
 
 
 def scan_with_schema(

@@ -14,7 +14,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
@@ -23,32 +33,73 @@ RESCUED = "_rescued_data"
 RAGGED = "_corrupt_record"
 SOURCE_FILE = "source_file"
 
-INFERENCE_FILES = 1000
+FILE_TIME = "file_modified"
+
+#: Names that ingestion itself gives to columns. A file's own column of such a name is
+#: renamed, so its values are rescued like those of any column the schema does not know.
+RESERVED = {RESCUED, RAGGED, SOURCE_FILE, FILE_TIME, "_metadata", "ingest_timestamp", "_ingest_batch"}
+RENAMED = {f"{name}_" for name in RESERVED}
+HEADER_FILES = 1000  # files whose first lines are read together
 
 
 def kept_schema(
-    spark: SparkSession, landing: str, keep_at: str, pattern: str = "*.csv"
+    spark: SparkSession, landing: str, keep_at: str, pattern: str = "*.csv", texts: Sequence[str] = ()
 ) -> StructType:
-    """The schema stored at ``keep_at``; the first call infers it from the landing folder.
+    """The schema stored at ``keep_at``; the first call infers it from all files in the landing folder.
 
-    Inference reads at most ``INFERENCE_FILES`` files. A type that turns out too
-    narrow later costs nothing: values that do not fit are rescued.
+    Each group of files with one header is inferred by itself and a column's types are
+    widened over the groups. Columns in ``texts`` are strings whatever the files hold: first
+    files with plain numbers say nothing about later ones.
     """
     if storage.exists(spark, keep_at):
-        return StructType.fromJson(json.loads(storage.read_text(spark, keep_at)))
-    files = landing_files(spark, landing, pattern).orderBy("path").limit(INFERENCE_FILES)
-    paths = [row.path for row in files.collect()]
-    if not paths:
+        stored = StructType.fromJson(json.loads(storage.read_text(spark, keep_at)))
+        return as_text(stored, texts)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    paths: list[str] = []
+    names = landing_files(spark, landing, pattern).orderBy("path").toLocalIterator()
+    for row in names:
+        paths.append(row.path)
+        if len(paths) == HEADER_FILES:
+            _merge(groups, files_by_header(spark, paths))
+            paths = []
+    _merge(groups, files_by_header(spark, paths))
+    if not groups:
         raise FileNotFoundError(f"no {pattern} below {landing} to infer a schema from")
-    # Types come from the files with the commonest header: under another header the
-    # reader would mix up columns. Columns only those others have are rescued later.
-    groups = files_by_header(spark, paths)
-    header = max(sorted(groups), key=lambda names: len(groups[names]))
-    inferred = (
-        spark.read.option("header", True).option("inferSchema", True).csv(groups[header]).schema
-    )
+    types: dict[str, DataType] = {}
+    for header in sorted(groups, key=lambda h: (-len(groups[h]), h)):
+        found = spark.read.option("header", True).option("inferSchema", True).csv(groups[header]).schema
+        for name, field in zip(header, found):
+            types[name] = widened(types.get(name), field.dataType)
+    inferred = StructType()
+    for name, kind in types.items():
+        if name not in RENAMED:
+            inferred.add(name, kind)
     storage.write_text(spark, keep_at, inferred.json())
-    return inferred
+    return as_text(inferred, texts)
+
+
+def as_text(schema: StructType, texts: Sequence[str]) -> StructType:
+    changed = StructType([
+        StructField(f.name, StringType(), True) if f.name in texts else f for f in schema])
+    for name in texts:
+        if name not in schema.names:
+            changed.add(name, StringType())
+    return changed
+
+
+def widened(one: DataType | None, two: DataType) -> DataType:
+    """The narrowest type that holds both; text where nothing else does."""
+    if one is None or one == two:
+        return two
+    for ladder in ((IntegerType(), LongType(), DoubleType()), (DateType(), TimestampType())):
+        if one in ladder and two in ladder:
+            return max(one, two, key=ladder.index)
+    return StringType()
+
+
+def _merge(groups: dict[tuple[str, ...], list[str]], more: dict[tuple[str, ...], list[str]]) -> None:
+    for header, files in more.items():
+        groups.setdefault(header, []).extend(files)
 
 
 def landing_files(spark: SparkSession, landing: str, pattern: str = "*.csv") -> DataFrame:
@@ -107,7 +158,7 @@ def column_names(header: str) -> tuple[str, ...]:
     names: list[str] = []
     for name in next(csv.reader([header.lstrip("\ufeff")])):
         name = name.strip() or "_unnamed"
-        while name in names:  # a repeated column keeps its values under another name
+        while name in names or name in RESERVED:  # such a column keeps its values under another name
             name += "_"
         names.append(name)
     return tuple(names)
@@ -118,7 +169,9 @@ def _read_group(spark: SparkSession, files: Sequence[str], header: Sequence[str]
     for name in (*header, RAGGED):
         schema.add(name, StringType())
     reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", RAGGED)
-    return reader.csv(list(files)).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return reader.csv(list(files)).select(
+        "*", F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(FILE_TIME))
 
 
 def rescued(strings: DataFrame, schema: StructType) -> DataFrame:
@@ -135,7 +188,7 @@ def rescued(strings: DataFrame, schema: StructType) -> DataFrame:
         typed.append(value.alias(field.name))
         if not isinstance(field.dataType, StringType):
             misfit.append((field.name, F.when(value.isNull(), raw)))
-    known = {*schema.names, SOURCE_FILE}
+    known = {*schema.names, SOURCE_FILE, FILE_TIME}
     misfit += [(c, named(c)) for c in strings.columns if c not in known]
 
     entries = [part for name, value in misfit for part in (F.lit(name), value)]
@@ -145,5 +198,5 @@ def rescued(strings: DataFrame, schema: StructType) -> DataFrame:
         payload = F.when(F.coalesce(*[v for _, v in misfit]).isNotNull(), F.to_json(left_over))
     else:
         payload = F.lit(None).cast("string")
-    origin = [named(SOURCE_FILE)] if SOURCE_FILE in present else []
+    origin = [named(c) for c in (SOURCE_FILE, FILE_TIME) if c in present]
     return strings.select(*typed, payload.alias(RESCUED), *origin)

@@ -20,9 +20,11 @@ class Fact:
     name: str
     clean: Transform
     enrich: Transform
+    texts: tuple[str, ...] = ()  # columns that cleaning parses; they are text whatever the first files hold
 
 
-ORDER_ITEMS = Fact("order_items", silver.clean_order_items, gold.order_items)
+ORDER_ITEMS = Fact(
+    "order_items", silver.clean_order_items, gold.order_items, ("quantity", "unit_price", "discount_pct"))
 ORDER_RETURNS = Fact("order_returns", silver.clean_order_returns, gold.order_returns)
 ORDER_SHIPMENTS = Fact("order_shipments", silver.clean_order_shipments, gold.order_shipments)
 FACTS = {fact.name: fact for fact in (ORDER_ITEMS, ORDER_RETURNS, ORDER_SHIPMENTS)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,13 +27,15 @@ def ingest_landing(
     schema: StructType | None = None,
     pattern: str = "*.csv",
     max_files: int = 1000,
+    texts: Sequence[str] = (),
 ) -> None:
     """Load the files that have arrived since the last run.
 
     The stream carries file names only; each batch of files is then read as an
-    ordinary, adaptively planned job. ``max_files`` bounds a batch.
+    ordinary, adaptively planned job. ``max_files`` bounds a batch. Columns in ``texts``
+    stay text where the schema is inferred.
     """
-    expected = schema or landing.kept_schema(spark, folder, f"{checkpoint}/schema.json", pattern)
+    expected = schema or landing.kept_schema(spark, folder, f"{checkpoint}/schema.json", pattern, texts)
     log = bronze_log(spark, bronze_path)
 
     def load(rows: DataFrame, source: str, batch: int) -> None:

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopstrata import storage
 
+ANY_AGE = "36500d"  # file streams pass over files older than a week by default
+
 
 def drain(
     stream: DataFrame,
@@ -54,9 +56,17 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A stream over a parquet table: the rows it has, then those appended later."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+def stream_table(spark: SparkSession, table: str, max_files: int | None = None) -> DataFrame:
+    """A stream over a parquet table: the rows it has, then those appended later.
+
+    ``table`` is a path, or the name of a table in the catalog. A file that is delivered
+    late with an old time is not passed over.
+    """
+    path = table
+    if "/" not in table:
+        details = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+        path = details.first().data_type
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFileAge", ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
@@ -72,13 +82,14 @@ def dedup_stream(
     """First arrival per key, remembered in the checkpoint across runs.
 
     Without an event time every key is remembered for ever. With one, a key is
-    forgotten ``delay`` after it was seen, which bounds the state. ``thin`` drops
-    repeats inside each input task first, so that the rows of a very frequent key
-    are few by the time they meet in one task.
+    forgotten ``delay`` after it was seen, which bounds the state. Without an event
+    time ``thin`` drops repeats inside each input task first, so that the rows of a very
+    frequent key are few by the time they meet in one task. With one it could drop the
+    timely row of a key in favour of a late one, so nothing is dropped beforehand.
 
     The fact tables need none of this: there the table itself is the memory.
     """
-    if thin:
+    if thin and event_time is None:
         stream = without_near_repeats(stream, keys)
     if event_time is not None:
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -30,7 +30,7 @@ from shopstrata.streaming.runner import append_stream, dedup_stream
 from shopstrata.testbed import retail
 
 UNSTABLE = (
-    "processed_time", "ingest_timestamp", "source_file", "_commit_timestamp", landing.RESCUED,
+    "processed_time", "ingest_timestamp", "source_file", landing.FILE_TIME, "_commit_timestamp", landing.RESCUED,
 )
 FIRST_ARRIVAL = "1999-01-01"  # staged arrivals are cut at this date
 
@@ -94,7 +94,8 @@ def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(second.select("quantity", "item_seq", "channel", "order_id", "dt"), f"{folder}/landing")
     declared = StructType.fromDDL("order_id bigint, item_seq int, dt date, quantity int")
     ingest_landing(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoint", declared)
-    return bronze_log(spark, f"{folder}/bronze").read().drop("source_file", "ingest_timestamp", BATCH)
+    return bronze_log(spark, f"{folder}/bronze").read().drop(
+        "source_file", landing.FILE_TIME, "ingest_timestamp", BATCH)
 
 
 def _two_arrivals(df: DataFrame, date_column: str) -> tuple[DataFrame, DataFrame]:

@@ -166,5 +166,6 @@ def test_all_jobs_twice_then_new_files(spark, root):
         (1, 1, 2), (1, 2, 4), (2, 1, None),
     ]
     assert rows(lake.daily_summary().read(), "date_id", "total_quantity") == [(20240106, 2), (20240107, 4)]
-    assert len(lake.publish_all()) == 5 + 5 + 3 + 7
+    assert len(lake.publish_all()) == 5 + 5 + 3 + 7 + 3
+    assert spark.sql("SELECT count(*) FROM brz_order_items").first()[0] == 4
     assert spark.sql("SELECT count(*) FROM gld_fact_order_items JOIN gld_dim_products USING (product_id)").first()[0] == 3

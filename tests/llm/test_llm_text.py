@@ -1,0 +1,263 @@
+import random
+import sys
+import zlib
+from pathlib import Path
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).parent))
+import brute  # noqa: E402
+
+from shopstrata.llm import bpe, chat_format, hmm, mixing, sharding, toxicity, words  # noqa: E402
+from shopstrata.llm.scratch import Scratch  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path(bpe.VOCABULARY)
+PIECES = ["a", "b", "aa", "  ", "\n", "\t", "é", "ß", "漢", "😀", "‍", "1", "²", "\x00", "\x1c", "\x85", "\xa0", "　",
+          "<|endoftext|>", "<|", "|>", "'s", "'LL", "'ll", "the", "ing", "!", "--", "́", "﻿", "A", "\r\n", "\v",
+          "=", "____", "-" * 50, "aaaaaaa", "\x7f", " the", " ing,"]
+
+
+@pytest.fixture
+def scratch(spark):
+    return Scratch(spark, "test")
+
+
+def test_words_match_the_pattern():
+    texts = ["a  b\tc\n", None, "", " é\x0b漢 x ", "A" * 3000, "x"]
+    got = words.words_of(pa.array(texts), lower=True)
+    found = [bytes(got.data[s:e]).decode() for s, e in zip(got.starts, got.ends)]
+    assert found == [w for t in texts for w in brute.WORD.findall(brute.lower(t))]
+    assert got.lengths().tolist() == [len(brute.WORD.findall(t or "")) for t in texts]
+    hashes = words.hash_words(got)
+    assert len(set(hashes.tolist())) == len(set(found))
+    sliced = words.words_of(pa.array(["zz", *texts]).slice(1), lower=True)
+    assert (words.hash_words(sliced) == hashes).all()
+
+
+def test_window_hashes_name_their_words():
+    hashes = words.mix(np.array([1, 2, 3, 1, 2, 3, 4], np.uint64))
+    for width in (1, 2, 3, 5, 7):
+        got = words.hash_windows(hashes, width)
+        runs = [tuple(hashes[i:i + width]) for i in range(len(hashes) - width + 1)]
+        assert [runs.index(r) for r in runs] == [got.tolist().index(h) for h in got]
+
+
+def test_encoding_equals_the_library():
+    library = Tokenizer.from_file(PATH)
+    merges = bpe.Merges(Path(PATH).read_text())
+    automaton, labels = bpe.Automaton(merges), bpe.Labels(merges)
+    rnd = random.Random(1)
+    for n in range(4000):
+        text = "".join(rnd.choice(PIECES) for _ in range(rnd.randint(0, 14)))
+        if n % 1000 == 0:
+            automaton.restart()
+        ids = automaton.encode(text)
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+        assert labels.decode(ids) == library.decode(want, skip_special_tokens=False)
+
+
+def test_encoding_of_tables(spark):
+    texts = [None, "", "Hello world", "x" * 5000, "Hello world", "<|endoftext|>\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("ids", F.lit(1))
+    got = {r.doc_id: r for r in bpe.digest(df, PATH).collect()}
+    library = Tokenizer.from_file(PATH)
+    for i, text in enumerate(texts):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert got[i].n_tokens == len(ids)
+        assert got[i].decoded_sha256 == brute.sha(text or "")
+    assert bpe.digest(df.limit(0), PATH).collect() == []
+
+
+def held_auc(spark, sf_dir, scratch):
+    got = {r.doc_id: r for r in toxicity.query(spark, sf_dir).collect()}
+    labels = [(got[r.doc_id], r.toxic) for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.doc_id in got]
+    held = [(r.score, t) for r, t in labels if r.held_out]
+    pairs = [(a, b) for a, t in held if t for b, u in held if not u]
+    return got, sum((a > b) + 0.5 * (a == b) for a, b in pairs) / len(pairs)
+
+
+def test_toxicity_on_held_out_rows(spark, scratch):
+    got, auc = held_auc(spark, "/root/testdata/sf0.1", scratch)
+    assert auc > 0.95
+    for i, r in list(got.items())[:500]:
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3)
+
+
+def test_toxicity_edges(spark, scratch):
+    docs = spark.createDataFrame([(1, "vile words"), (2, None), (3, ""), (4, "fine words"), (4, "fine words"), (None, "x")],
+                                 "doc_id bigint, text string").withColumn("score", F.lit("kept"))
+    labels = spark.createDataFrame([(1, 1), (4, 0), (2, None), (None, 1)], "id bigint, toxic int")
+    model = toxicity.fit(docs, labels, scratch)
+    rows = toxicity.score(docs, model, made="p").collect()
+    assert len(rows) == 6 and {r.score for r in rows} == {"kept"} and all(0 <= r.p <= 1 for r in rows)
+    untrained = toxicity.fit(docs, labels.limit(0), scratch)
+    assert {r.p for r in toxicity.score(docs, untrained, made="p").collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), model, made="p").collect() == []
+
+
+def test_forward_and_expectations_equal_plain_recursions():
+    rng = np.random.default_rng(0)
+    k = 3
+    hmm_symbols = [rng.integers(0, 5, n).astype(np.uint16) for n in (1, 4, 7, 2)]
+    draw = lambda *s: (lambda x: x / x.sum(-1, keepdims=True))(rng.random(s))
+    start, move, emit = draw(k), draw(k, k), np.zeros((hmm.SYMBOLS, k))
+    emit[:5] = draw(k, 5).T
+    chain = hmm.Chain(start, move, emit)
+    offsets = np.concatenate([[0], np.cumsum([len(s) for s in hmm_symbols])])
+    columns = hmm.Columns(np.concatenate(hmm_symbols), offsets)
+    first, moved, counts = np.zeros(k), np.zeros((k, k)), np.zeros((5, k))
+    for s, got in zip(hmm_symbols, hmm.forward(columns, chain)):
+        alpha = [start * emit[s[0]]]
+        for x in s[1:]:
+            alpha.append(alpha[-1] @ move * emit[x])
+        total = alpha[-1].sum()
+        assert got == pytest.approx(np.log(total))
+        beta = [np.ones(k)]
+        for x in s[:0:-1]:
+            beta.append(move @ (emit[x] * beta[-1]))
+        beta = beta[::-1]
+        first += alpha[0] * beta[0] / total
+        for t, x in enumerate(s):
+            counts[x] += alpha[t] * beta[t] / total
+            if t:
+                moved += np.outer(alpha[t - 1], emit[x] * beta[t]) * move / total
+    found = hmm.expectations(columns, chain)
+    assert np.allclose(found[0], first) and np.allclose(found[1], moved) and np.allclose(found[2][:5], counts)
+
+
+def test_language_model_beats_its_base_on_held_out_rows(spark):
+    rows = hmm.query(spark, "/root/testdata/sf0.01").collect()
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    tokens = {i: [*brute.WORD.findall(brute.lower(t)), None] for i, t in docs.items()}
+    counts = {}
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
+        for t in [] if r.held_out else tokens[r.doc_id]:
+            counts[t] = counts.get(t, 0) + 1
+    total = sum(counts.values())
+    for r in rows:
+        c = np.array([counts.get(t, 0) for t in tokens[r.doc_id]])
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(c), (c > 0).sum(), total)
+        assert r.base_score == pytest.approx(np.log10((c + 0.5) / (total + 0.5 * (len(counts) + 1))).sum())
+
+
+def test_language_model_is_a_distribution(spark, scratch):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b a c"), (3, None), (3, None), (None, "")], "doc_id bigint, text string")
+    got = hmm.score(docs, F.lit(False), scratch).collect()
+    assert len(got) == 5 and all(r.score < 0 for r in got)
+    # the one-token text and an unseen token share what the end leaves
+    probe = docs.union(spark.createDataFrame([(9, "unseen")], docs.schema))
+    scores = {r.id: r.score for r in hmm.score(probe, F.col("doc_id") == 9, scratch).collect()}
+    assert 10 ** scores[9] + 10 ** scores[3] < 1
+    assert hmm.score(docs.limit(0), F.lit(False), scratch).collect() == []
+    nothing = hmm.score(docs, F.lit(True), scratch).collect()
+    assert {r.n_known for r in nothing} == {0} and {r.train_tokens for r in nothing} == {0}
+
+
+def test_mix_comes_near_its_targets(spark, scratch):
+    rnd = random.Random(4)
+    rows = [(i, "w " * rnd.randint(0, 40), rnd.choice(["a", "a", "a", "b", "c", None])) for i in range(2000)]
+    df = spark.createDataFrame(rows + [(5000, None, "a"), (5001, "", "d")], "doc_id bigint, text string, source string")
+    df = df.withColumn("size", F.lit("x"))
+    got = mixing.mix(df, scratch).collect()
+    assert len(got) == 2002
+    by = {}
+    for r in got:
+        assert 0 <= r.times <= 2
+        used = by.setdefault(r.source, [r.source_size, r.target, 0, 0])
+        used[2] += r.size * r.times
+        used[3] += r.size
+    assert sum(t for _, t, _, _ in by.values()) == pytest.approx(1.5 * sum(s for s, _, _, _ in by.values()))
+    for source_size, target, taken, size in by.values():
+        assert size == source_size and target <= 2 * source_size and abs(taken - target) <= 80
+    again = mixing.mix(df.repartition(5), scratch).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert mixing.mix(df.limit(0), scratch).collect() == []
+
+
+def test_mixed_rows_keep_columns(spark, scratch):
+    df = spark.createDataFrame([(i, "w " * 10, "ab"[i % 2]) for i in range(40)], "doc_id bigint, text string, source string")
+    got = mixing.mixed(df.withColumn("times", F.lit(7)), scratch)
+    assert got.columns == ["doc_id", "text", "source", "times"]
+    assert got.count() == 60
+
+
+def test_shards(spark, scratch):
+    rows = [(i, "é" * (i % 50)) for i in range(3000)] + [(None, None), (7, "again")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("shard", F.lit("x"))
+    got = sharding.assign(df, scratch, run_rows=100).collect()
+    assert len(got) == len(rows)
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert set(slots) == set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    grown = {r.id: r.shard for r in sharding.assign(df, scratch, weights=(1.0,) * 25).collect()}
+    for r in got:
+        assert r.grown_shard in (r.shard, 24)
+        assert r.grown_shard == grown[r.id]
+        text = dict(rows).get(r.id) or ""
+        if r.id != 7:
+            assert (r.size, r.text_crc32) == (len(text.encode()) + 8, zlib.crc32(text.encode()))
+    heavy = sharding.assign(df, scratch, weights=(1.0, 3.0)).groupBy("shard").count().collect()
+    assert 0.7 < {r["shard"]: r["count"] for r in heavy}[1] / len(rows) < 0.8
+    assert sharding.assign(df.limit(0), scratch).collect() == []
+
+
+def chat(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.format_conversations(chat_format.table_turns(df.withColumn("block", F.lit(1))))
+
+
+def test_chat_round_trip(spark):
+    rnd = random.Random(2)
+    bits = ["<|turn|>", "<|end|>\n", "</s>", "[INST]", "[/INST]", "\\", "<", "[", "|", "<\\|", "<\\\\|end|>", "<<SYS>>", "<</SYS>>", "x", "\n", "é😀", "<|nl|>", "s>"]
+    rows = []
+    for conv in range(60):
+        for turn in range(rnd.randint(1, 5)):
+            rows.append((conv, turn, rnd.choice(["user", "assistant", "a\nb", "<|turn|>", None]),
+                         rnd.choice([None, "", *["".join(rnd.choices(bits, k=8))] * 6])))
+    rows += [(None, None, "user", "x"), (100, 1, "user", "same"), (100, 1, "user", "same"), (101, 0, "assistant", "y" * 200_000)]
+    made = chat(spark, rows)
+    got = {r.conv_id: r for r in chat_format.digest(made).collect()}
+    turns = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        turns.setdefault(conv, []).append((role or "", text or ""))
+    assert set(got) == set(turns)
+    texts = {r.conv_id: r.formatted for r in made.collect()}
+    for conv, said in turns.items():
+        trained = "".join(t for r, t in said if r == "assistant")
+        assert got[conv].n_turns == len(said)
+        assert got[conv].turns_sha256 == brute.sha("".join(f"{r}\n{t}\n" for r, t in said))
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(trained), brute.sha(trained))
+        assert got[conv].formatted_chars == len(texts[conv])
+        assert texts[conv].count("<|turn|>") == texts[conv].count("<|end|>\n") == len(said)
+        assert "</s>" not in texts[conv] and "[INST]" not in texts[conv]
+    assert chat_format.digest(made.limit(0)).collect() == []
+
+
+def test_layouts_by_fingerprint(spark):
+    records = [
+        (1, '{"prompt": "p", "completion": "c"}'), (2, '{"instruction": "do", "input": "it", "output": "done"}'),
+        (3, '{"messages": [{"role": "user", "content": "u"}, {"role": "assistant", "content": "a"}]}'),
+        (4, '{"conversations": [{"from": "human", "value": "h"}, {"from": "gpt", "value": null}]}'),
+        (5, '{"other": 1}'), (6, "no json"), (7, None), (8, '{"instruction": "do", "input": "", "output": "done"}'),
+    ]
+    df = spark.createDataFrame(records, "id bigint, record string")
+    got = {}
+    for r in chat_format.json_turns(df, "id", "record").orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.layout, r.turn, r.role, r.text))
+    assert got[1] == [("prompt-completion", 0, "user", "p"), ("prompt-completion", 1, "assistant", "c")]
+    assert got[2][0][3] == "do\n\nit" and got[8][0][3] == "do"
+    assert [x[2:] for x in got[3]] == [("user", "u"), ("assistant", "a")]
+    assert [x[2:] for x in got[4]] == [("user", "h"), ("assistant", "")]
+    assert [got[i] for i in (5, 6, 7)] == [[(None, None, "", "")]] * 3

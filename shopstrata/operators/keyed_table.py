@@ -36,7 +36,6 @@ FEED_COLUMNS = (CHANGE, VERSION, STAMP)
 INSERT, BEFORE, AFTER = "insert", "update_preimage", "update_postimage"
 
 MAX_BUCKETS = 100_000  # Spark's own default ceiling
-MAX_UNSETTLED_COMMITS = 64
 HASH_BUILD_BYTES = 64 << 20  # most parquet bytes of a batch per bucket for a hash join
 
 KEEP_RULES = ("incoming", "greatest", "existing")
@@ -187,20 +186,29 @@ class KeyedTable:
         return merged.unionByName(self._as_inserts(incoming.filter(any_null(self.keys))))
 
     def _old_rows(self, wanted: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
-        """Current rows of the wanted keys: the newest of snapshot and later commits."""
+        """Current rows of the wanted keys: the newest of snapshot and later commits.
+
+        Both are read within the staged batch's range of the first key only, so the scans
+        skip row groups outside.
+        """
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
         found = []
+        near = lambda rows: rows
+        if not self.match_null_keys:
+            first = named(self.keys[0])
+            low, high = wanted.agg(F.min(first), F.max(first)).first()
+            near = lambda rows: rows.filter((first >= F.lit(low)) & (first <= F.lit(high)))
         if snapshot:
             side = wanted
             if batch_bytes / snapshot.buckets <= HASH_BUILD_BYTES and not self.match_null_keys:
                 side = wanted.hint("shuffle_hash")  # streams the table: no shuffle and no sort of it
             found.append(
-                self._join(self._bucketed(snapshot), side, "left_semi")
+                self._join(near(self._bucketed(snapshot)), side, "left_semi")
                 .withColumn(VERSION, F.lit(snapshot.version).cast("long"))
             )
         if later:
-            found.append(self._join(self._images(later), wanted, "left_semi"))
+            found.append(self._join(near(self._images(later)), wanted, "left_semi"))
         if len(found) == 1 and len(later) <= 1:
             return found[0].drop(VERSION)
         old = found[0] if len(found) == 1 else found[0].unionByName(found[1])
@@ -284,7 +292,7 @@ class KeyedTable:
         later = self._after(snapshot, commits)
         held, pending = self._bytes(snapshot, later)
         due = pending > max(self.settle_bytes, self.settle_share * held)
-        if later and (due or len(later) >= MAX_UNSETTLED_COMMITS):
+        if later and due:
             self.settle()
 
     def settle(self) -> None:

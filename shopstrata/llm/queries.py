@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from shopstrata.llm import bpe, chat_format, embedding_dedup, exact_dedup, hmm, mixing, near_dedup, sharding, substring, toxicity
+from shopstrata.llm import (
+    bpe,
+    chat_format,
+    embedding_dedup,
+    exact_dedup,
+    hmm,
+    mixing,
+    near_dedup,
+    oracles,
+    sharding,
+    substring,
+    toxicity,
+)
 
 QUERIES = {
     "op1_substring": substring.query,
@@ -18,7 +30,11 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_substring": oracles.REPEATS,
     "op2_mixing": mixing.SQL,
+    "op4_near_dedup": oracles.NEAR,
     "op5_chat_format": chat_format.SQL,
+    "op6_embedding_dedup": oracles.VECTORS,
+    "op9_sharding": oracles.SHARDS,
     "op10_exact_dedup": exact_dedup.SQL,
 }

@@ -92,16 +92,3 @@ def assign(docs: DataFrame, scratch: Scratch, weights: Sequence[float] = (1.0,)
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(documents(spark, sf_dir), Scratch(spark, "sharding")).withColumnRenamed("id", "doc_id")
 
-
-_SCORE = "(('0x' || substr(md5({n} || ':' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5)"
-SQL = f"""
-WITH scored AS (
-    SELECT doc_id, text, n, {_SCORE.format(n='n')} AS u FROM documents, range({SHARDS + 1}) AS s(n)),
-won AS (
-    SELECT doc_id, any_value(text) AS text, arg_max(n, u) FILTER (n < {SHARDS}) AS shard,
-           arg_max(n, u) AS grown_shard
-    FROM scored GROUP BY doc_id)
-SELECT doc_id, (coalesce(strlen(text), 0) + 8)::BIGINT AS size, shard::INTEGER AS shard,
-       grown_shard::INTEGER AS grown_shard, 'key' AS law
-FROM won
-"""

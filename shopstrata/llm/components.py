@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from shopstrata.llm.scratch import Scratch
 
+PART_ROWS = 100_000  # edges in a partition; a step over few edges has few tasks
+
 
 def _fingerprint(edges: DataFrame):
     return edges.agg(
@@ -26,18 +28,19 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         f"{label}-0")
     mark, step = _fingerprint(now), 0
     while mark.n:
+        parts = -(-mark.n // PART_ROWS)
         # large star: larger neighbours go to the smallest neighbour
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")), f"{label}-m{step}")
+        least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts), f"{label}-m{step}")
         large = both.join(least, "u").where("v > u").select(
             F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        large = scratch.table(large, f"{label}-l{step}")
+        large = scratch.table(large.coalesce(parts), f"{label}-l{step}")
         # small star: smaller neighbours and the node itself go to the smallest of them
-        least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-s{step}")
+        least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts), f"{label}-s{step}")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))).distinct()
         step += 1
-        before, now = mark, scratch.table(small, f"{label}-{step}")
+        before, now = mark, scratch.table(small.coalesce(parts), f"{label}-{step}")
         mark = _fingerprint(now)
         scratch.drop(f"{label}-m{step - 1}", f"{label}-l{step - 1}", f"{label}-s{step - 1}", f"{label}-{step - 1}")
         if mark == before:

@@ -382,7 +382,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
         keys = ["cluster", "chunk", "at"]
         more = scratch.table(confirm(
             others.unionByName(probes).repartition(tasks, *keys).sortWithinPartitions(*keys), percent, keys), "more")
-        parts = components(links.unionByName(more), scratch, "all")
+        known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = components(known.unionByName(more), scratch, "all")
     scratch.drop("texts")
 
     rooted = classes.select("digest", "cls", "least").join(parts.withColumnRenamed("node", "cls"), "cls", "left")

@@ -117,11 +117,12 @@ def mixed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
     Rows that repeat both id and text count as often as the one taken most.
     """
     found = mix(docs, scratch, id_col, text_col).where("times > 0")
-    found = scratch.table(found.groupBy("id", "mark").agg(F.max("times").alias("times")), "taken")
+    found = scratch.table(
+        found.groupBy(F.col("id").alias("_i"), F.col("mark").alias("_m")).agg(F.max("times").alias("_times")), "taken")
     marked = docs.withColumn("_mark", F.xxhash64(text_col))
-    same = marked[id_col].eqNullSafe(found["id"]) & (marked["_mark"] == found["mark"])
+    same = marked[id_col].eqNullSafe(found["_i"]) & (marked["_mark"] == found["_m"])
     return marked.join(found, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*[marked[c] for c in docs.columns])
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

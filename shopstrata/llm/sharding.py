@@ -71,7 +71,7 @@ def with_slots(rows: DataFrame, scratch: Scratch, run_rows: int = RUN_ROWS) -> D
 
 
 def assign(docs: DataFrame, scratch: Scratch, weights: Sequence[float] = (1.0,) * SHARDS,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN_ROWS) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) for every row.
 
     The law is ``key``: id and shard weights decide, nothing else. Rows that repeat an id
@@ -84,7 +84,7 @@ def assign(docs: DataFrame, scratch: Scratch, weights: Sequence[float] = (1.0,)
         key.alias("_order"), (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"), rendezvous(key, weights).alias("shard"))
     sharded = sharded.withColumn("grown_shard", grown(F.col("_order"), F.col("shard"), weights, 1.0))
-    return with_slots(sharded, scratch).select(
+    return with_slots(sharded, scratch, run_rows).select(
         F.col("_order").alias("id"), "size", "text_crc32", F.lit("key").alias("law"), "shard",
         F.col("slot").cast("long"), "grown_shard")
 

@@ -173,13 +173,27 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("token", "shape").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The most frequent tokens, ``most`` rows at most, found from a histogram of at most 512 bins."""
+    binned = counts.withColumn("_bin", F.floor(F.log2("n") * 8).cast("int"))
+    sizes = sorted(((r["_bin"], r["count"]) for r in binned.groupBy("_bin").count().collect()), reverse=True)
+    least, taken = 1 << 30, 0
+    for number, size in sizes:
+        taken += size
+        if taken > most:
+            break
+        least = number
+    return binned.where(F.col("_bin") >= least).drop("_bin")
+
+
 class Lexicon:
     """What every task needs to know of the vocabulary; its size does not depend on the corpus."""
 
     def __init__(self, counts: DataFrame):
         ends = counts.where("shape < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
         whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        top = counts.where("shape >= 0").orderBy(F.col("n").desc(), "token").limit(FREQUENT).toPandas()
+        top = frequent(counts.where("shape >= 0")).toPandas()
+        top = top.sort_values(["n", "token"], ascending=[False, True], ignore_index=True)
         self.total, self.distinct, self.ends = int(whole.n), int(whole.v), int(ends)
         symbol = np.where(np.arange(len(top)) < OWN, 1 + np.arange(len(top)), 1 + OWN + top["shape"].to_numpy())
         order = np.argsort(top["token"].to_numpy(), kind="stable")
@@ -234,7 +248,7 @@ def encode(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     *[rest.column(c) for c in kept], pa.array(np.diff(words.docs) + 1),
                     pa.array(np.bincount(owner[~rare], minlength=n) + (1 if lex.ends else 0)),
-                    pa.array(sums + np.log10(lex.ends + 0.5)), pa.array(inner),
+                    pa.array(sums + np.log10(lex.ends + 0.5)), pa.array(inner.astype(float)),
                     pa.array([everything[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(per_doc.astype(np.int32)), pa.array(hashes[rare])),
                 ], [*kept, "n_tokens", "n_known", "base_log", "inner_log", "symbols", "rare"])
@@ -297,9 +311,10 @@ def score(docs: DataFrame, held_out, scratch: Scratch, id_col: str = "doc_id", t
     lexicon = Lexicon(counts)
     encoded = scratch.table(encode(given.withColumn("_row", F.monotonically_increasing_id()), lexicon), "encoded")
     training = encoded.where("NOT held_out")
-    sample = (
-        training.where(F.col("n_tokens") <= SEED_TOKENS)
-        .orderBy(F.xxhash64("id", "n_tokens"), "symbols").limit(SEED_DOCS).select("symbols").collect())
+    # about 4 * SEED_DOCS rows by hash, of which those that come first are taken
+    drawn = training.where(F.col("n_tokens") <= SEED_TOKENS).withColumn("_order", F.xxhash64("id", "n_tokens")).where(
+        F.pmod("_order", F.lit(max(lexicon.ends, 1))) < 4 * SEED_DOCS)
+    sample = drawn.orderBy("_order", "symbols").limit(SEED_DOCS).select("symbols").collect()
     chain = seed([np.frombuffer(r.symbols, np.uint16) for r in sample], lexicon.unigram)
     for _ in range(ROUNDS):
         chain = baum_welch(training, chain, lexicon.unigram)

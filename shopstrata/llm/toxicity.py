@@ -89,10 +89,12 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
     The sample's features are made in parallel; the online pass over them is one task by
     nature and sees ``sample`` rows at most. Without rows every score is 0.
     """
+    usable = labels.where(F.col("toxic").isNotNull() & F.col("id").isNotNull()).withColumn("_order", F.xxhash64("id"))
+    # about twice the sample by hash, of which those that come first are taken
+    drawn = usable.where(F.pmod("_order", F.lit(max(usable.count(), 1))) < 2 * sample)
     chosen = (
-        labels.where(F.col("toxic").isNotNull() & F.col("id").isNotNull())
-        .groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
-        .withColumn("_order", F.xxhash64("id")).orderBy("_order", "id").limit(sample)
+        drawn.groupBy("id", "_order").agg(F.max("toxic").cast("int").alias("toxic"))
+        .orderBy("_order", "id").limit(sample)
     )
     given = scratch.table(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")

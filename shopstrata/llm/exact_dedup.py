@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from shopstrata.llm.scratch import Scratch, documents
 
 HEAVY = 1024  # most digests treated as heavy: the bound of the broadcast
-TRACKED = 16384  # counters of the sketch
+TRACKED = 16384  # counters of a sketch
+SKETCHES = 32  # sketches, each over a share of the partitions; a frequent digest is frequent in one of them
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -31,14 +32,18 @@ def text_digest(text: Column) -> Column:
 
 
 def heavy_groups(keys: DataFrame, heavy: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
-    """Exact (digest, keep_id, group_size) of at most ``heavy`` frequent digests."""
-    summary = keys.agg(F.expr(f"approx_top_k(_digest, {int(heavy)}, {int(tracked)})").alias("top"))
-    candidates = summary.select(F.explode("top").alias("c")).where("c.count > 1").select(
-        F.col("c.item").alias("_digest"))
-    return (
-        keys.join(F.broadcast(candidates), "_digest", "left_semi")
-        .groupBy("_digest").agg(F.max("_id").alias("_keep"), F.count("*").alias("_size"))
-    )
+    """Exact (digest, keep_id, group_size) of at most ``heavy`` frequent digests.
+
+    Sketches are merged for a share of the partitions each, so none gathers all tasks' counters;
+    their candidates are at most ``SKETCHES * heavy`` digests, a bounded broadcast.
+    """
+    sketches = keys.groupBy((F.spark_partition_id() % SKETCHES).alias("_share")).agg(
+        F.expr(f"approx_top_k(_digest, {int(heavy)}, {int(tracked)})").alias("top"))
+    candidates = sketches.select(F.explode("top").alias("c")).where("c.count > 1").select(
+        F.col("c.item").alias("_digest")).distinct()
+    counted = keys.join(F.broadcast(candidates), "_digest", "left_semi").groupBy("_digest").agg(
+        F.max("_id").alias("_keep"), F.count("*").alias("_size"))
+    return counted.orderBy(F.col("_size").desc(), "_digest").limit(heavy)
 
 
 def mark_copies(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",

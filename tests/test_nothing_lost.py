@@ -138,3 +138,22 @@ def test_no_local_scratch_on_a_cluster():
     cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: {"spark.master": "yarn"}.get(key, default)))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_folder(cluster, "x")
+
+
+def test_a_small_batch_reads_few_rows_of_the_target(spark, tmp_path):
+    from test_summary_and_jobs import scanned_rows
+
+    from shopstrata.operators.keyed_table import KeyedTable
+
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    settings.set("parquet.block.size", "20000")  # many row groups in a small table
+    try:
+        table = KeyedTable(spark, f"{tmp_path}/t", ["k"])
+        table.upsert(spark.range(200_000).select(F.col("id").alias("k"), F.lit(1).alias("v")))
+        table.settle()
+    finally:
+        settings.unset("parquet.block.size")
+    wanted = spark.createDataFrame([(70_000,)], "k bigint")
+    old = table._old_rows(wanted, [0], 1000)
+    assert rows(old) == [(70_000, 1)]
+    assert sum(scanned_rows(old._jdf.queryExecution().executedPlan())) < 20_000

@@ -31,8 +31,9 @@ from shopstrata.llm.words import text_slices
 VOCABULARY = "byte_bpe_50k.json"
 #: Fixed value: how byte-level vocabularies of this family split text.
 SPLIT = regex.compile(public_tokenizers.PATTERN)
-STATES = 120_000  # states kept by a worker before its table starts anew
-WORDS = 50_000  # words, and chunks, in each of the two generations of a worker's caches
+MARKS = set(".,;:!?")  # end a word of their own after letters
+STATES = 200_000  # states kept by a worker before its table starts anew
+WORDS = 100_000  # words, and chunks, in each of the two generations of a worker's caches
 
 
 def byte_characters() -> dict[str, int]:
@@ -117,6 +118,8 @@ class Automaton:
         self.numbers = {self.states[0]: 0}
         self.labels = [(b"", 0)]
         self.table = _Transitions(self)
+        self.words.clear()
+        self.chunks.clear()
 
     def compile(self, state: int, byte: int) -> int:
         label, places = None, []
@@ -181,6 +184,10 @@ class Automaton:
             return b"".join([words[w] for w in SPLIT.findall(text)])
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha():  # letters alone: one word, kept as this chunk
+            return self.path(b" " + chunk.encode())
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha():
+            return self.chunks[chunk[:-1]] + self.words[chunk[-1]]
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Seam
         words = self.words
@@ -233,10 +240,14 @@ class _Cache(dict):
             self[key] = found
         return found
 
+    def clear(self) -> None:
+        super().clear()
+        self.old = {}
+
     def age(self) -> None:
         if len(self) > WORDS:
             self.old = dict(self)
-            self.clear()
+            super().clear()
 
 
 @lru_cache(2)
@@ -270,7 +281,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def work(batches):
         automaton = _automaton(vocabulary.value)
-        yield from _batches(batches, "_text", "ids", pa.binary(), lambda t: automaton.encode(t or ""))
+        try:
+            yield from _batches(batches, "_text", "ids", pa.binary(), lambda t: automaton.encode(t or ""))
+        finally:  # the worker may go on to other work
+            automaton.restart()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     return given.mapInArrow(work, f"id {dict(docs.dtypes)[id_col]}, ids binary")
@@ -288,8 +302,26 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return given.mapInArrow(work, f"id {dict(encoded.dtypes)['id']}, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, text): what ``decode`` makes of ``encode``, in one pass and one worker for each task."""
+    short_batches(docs.sparkSession)
+    vocabulary = docs.sparkSession.sparkContext.broadcast(Path(path).read_text())
+
+    def work(batches):
+        automaton, labels = _automaton(vocabulary.value), _labels(vocabulary.value)
+        try:
+            for encoded in _batches(batches, "_text", "ids", pa.binary(), lambda t: automaton.encode(t or "")):
+                texts = [labels.decode(ids) for ids in encoded.column("ids").to_pylist()]
+                yield encoded.append_column("text", pa.array(texts, pa.string()))
+        finally:  # the worker may go on to other work
+            automaton.restart()
+
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
+    return given.mapInArrow(work, f"id {dict(docs.dtypes)[id_col]}, ids binary, text string")
+
+
 def digest(docs: DataFrame, path: str) -> DataFrame:
-    read = decode(encode(docs, path), path)
+    read = round_trip(docs, path)
     return read.select(
         F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))

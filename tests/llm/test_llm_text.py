@@ -73,6 +73,8 @@ def test_encoding_of_tables(spark):
         assert got[i].n_tokens == len(ids)
         assert got[i].decoded_sha256 == brute.sha(text or "")
     assert bpe.digest(df.limit(0), PATH).collect() == []
+    apart = bpe.decode(bpe.encode(df, PATH), PATH)
+    assert sorted(map(str, apart.collect())) == sorted(map(str, bpe.round_trip(df, PATH).collect()))
 
 
 def held_auc(spark, sf_dir, scratch):

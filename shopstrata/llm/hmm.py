@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import Scratch, documents
+from shopstrata.llm.scratch import Scratch, documents, short_batches
 from shopstrata.llm.toxicity import remainder
 from shopstrata.llm.words import hash_words, text_slices, words_of
 
@@ -307,6 +307,7 @@ def score(docs: DataFrame, held_out, scratch: Scratch, id_col: str = "doc_id", t
     unseen one. Rows that repeat are documents of their own.
     """
     given = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"), F.col(text_col).alias("_text"))
+    short_batches(docs.sparkSession, 10_000)  # sequences of like length are worked on together
     counts = scratch.table(count_tokens(given.where("NOT held_out"), "_text"), "counts")
     lexicon = Lexicon(counts)
     encoded = scratch.table(encode(given.withColumn("_row", F.monotonically_increasing_id()), lexicon), "encoded")

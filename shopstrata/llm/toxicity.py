@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import Scratch, documents
+from shopstrata.llm.scratch import Scratch, documents, short_batches
 from shopstrata.llm.words import NO_LETTERS, hash_windows, hash_words, mix, text_slices, words_of
 
 SAMPLE = 20_000  # most labelled rows in a fit
@@ -89,6 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
     The sample's features are made in parallel; the online pass over them is one task by
     nature and sees ``sample`` rows at most. Without rows every score is 0.
     """
+    short_batches(docs.sparkSession)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("id").isNotNull()).withColumn("_order", F.xxhash64("id"))
     # about twice the sample by hash, of which those that come first are taken
     drawn = usable.where(F.pmod("_order", F.lit(max(usable.count(), 1))) < 2 * sample)
@@ -138,6 +139,7 @@ def score(docs: DataFrame, model: tuple[float, list[tuple[int, float]]], text_co
 
     Null and empty texts get that of the bias alone. Repeated rows stay.
     """
+    short_batches(docs.sparkSession)
     bias, sparse = model
     weights = np.zeros(1 << BITS, np.float32)
     for at, weight in sparse:

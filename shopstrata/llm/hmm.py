@@ -6,8 +6,9 @@ three bytes, and within a symbol its probability is (c + 0.5) / (C + 0.5 * (V +
 exact corpus counts, with one share of 0.5 for tokens never seen. States emit symbols, so the
 model is a table of bounded size while counts of all tokens stay in a distributed table.
 
-Counts, expectations and scores cover every document in full. Only the starting point of the
-training comes from a bounded sample (``SEED_DOCS`` documents of at most ``SEED_TOKENS``).
+Counts, expectations and scores cover every document in full. Training starts from the
+unigram distribution, perturbed alike in every run; each of its rounds reads all training
+documents, and it ends when a round has gained little.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ OWN = 8192
 SHAPES = 2048
 SYMBOLS = 1 + OWN + SHAPES  # 0 is the end
 FREQUENT = 65_536  # most tokens whose counts are broadcast; the others are joined
-ROUNDS = 2  # of Baum-Welch over all training documents
-SEED_DOCS, SEED_TOKENS, SEED_ROUNDS = 300, 1000, 12
-GROUP_TOKENS = 400_000  # worked on together
+ROUNDS = 14  # of Baum-Welch over all training documents, at most
+GAIN = 1e-3  # of log-likelihood a token and round; below it training ends
+GROUP_TOKENS = 1_200_000  # worked on together
 FOLDS, HELD = 5, 1
 END = 0x0E4D
 
@@ -64,50 +65,48 @@ class Columns:
 def forward(columns: Columns, chain: Chain, keep: bool = False):
     """Natural log-likelihood of each sequence, by the scaled forward recursion.
 
-    With ``keep`` also the scaled forward vectors and scales by position.
+    With ``keep`` also scaled forward vectors, emissions (a row for each state) and scales by position.
     """
-    emitted = chain.emit[columns.symbols]
+    emitted = np.stack([of_state[columns.symbols] for of_state in chain.emit.T.copy()])
+    vectors = emitted.copy() if keep else emitted
     total = np.zeros(len(columns.order))
-    vectors = emitted if keep else None
-    scales = np.empty(len(emitted), emitted.dtype)
-    a = None
+    scales = np.empty(emitted.shape[1], emitted.dtype)
+    onward, a = chain.move.T.copy(), None
     for low, high, m in columns.steps():
-        a = (chain.start if a is None else a[:m] @ chain.move) * emitted[low:high]
-        scale = a.sum(1)
-        a /= scale[:, None]
-        scales[low:high] = scale
-        if keep:
-            vectors[low:high] = a
+        now = vectors[:, low:high]
+        now *= chain.start[:, None] if a is None else onward @ a[:, :m]
+        scale = now.sum(0, out=scales[low:high])
+        now /= scale
+        a = now
     if len(scales):
         logs = np.log(scales.astype(np.float64))
         rank = np.arange(len(scales)) - np.repeat(columns.base[:-1], columns.active)
         total = np.bincount(rank, logs, len(columns.order))
     out = np.empty_like(total)
     out[columns.order] = total
-    return (out, vectors, scales) if keep else out
+    return (out, vectors, emitted, scales) if keep else out
 
 
 def expectations(columns: Columns, chain: Chain):
-    """Expected start, transition and emission counts of the sequences."""
-    _, gamma, scales = forward(columns, chain, keep=True)
-    emitted = chain.emit[columns.symbols]
-    emitted /= scales[:, None]
+    """Expected start, transition and emission counts of the sequences, and their log-likelihood."""
+    logs, gamma, emitted, scales = forward(columns, chain, keep=True)
+    emitted /= scales
     k = len(chain.start)
     moved = np.zeros((k, k))
-    back = chain.move.T.copy()
-    beta = np.ones((len(columns.order), k), gamma.dtype)
+    beta = np.ones((k, len(columns.order)), gamma.dtype)
     steps = list(columns.steps())
     for t in range(len(steps) - 1, -1, -1):
         low, high, m = steps[t]
         if t + 1 < len(steps):
             after, until, n = steps[t + 1]
-            b = emitted[after:until] * beta[:n]
-            moved += gamma[low:low + n].T @ b
-            beta[:n] = b @ back
-        gamma[low:high] *= beta[:m]
-    first = gamma[:len(columns.order)].sum(0)
-    counts = np.stack([np.bincount(columns.symbols, gamma[:, s], SYMBOLS) for s in range(k)], 1)
-    return first.astype(float), moved * chain.move, counts
+            b = emitted[:, after:until]
+            b *= beta[:, :n]
+            moved += gamma[:, low:low + n] @ b.T
+            beta[:, :n] = chain.move @ b
+        gamma[:, low:high] *= beta[:, :m]
+    first = gamma[:, :len(columns.order)].sum(1)
+    counts = np.stack([np.bincount(columns.symbols, of_state, SYMBOLS) for of_state in gamma], 1)
+    return first.astype(float), moved * chain.move, counts, logs.sum()
 
 
 def maximise(first, moved, counts, unigram) -> Chain:
@@ -131,18 +130,12 @@ def groups(symbols: list[np.ndarray]):
             yield part, Columns(np.concatenate([symbols[i] for i in part]), offsets)
 
 
-def seed(samples: list[np.ndarray], unigram: np.ndarray) -> Chain:
-    """A starting chain from a bounded sample: states drawn apart by a few local rounds."""
+def beginning(unigram: np.ndarray) -> Chain:
+    """The chain before training: sticky states that emit differently perturbed unigrams."""
     rng = np.random.default_rng(7)
     emit = unigram[:, None] * rng.gamma(1.0, 1.0, (SYMBOLS, STATES)) + 1e-9
     move = np.full((STATES, STATES), 0.1 / STATES) + 0.9 * np.eye(STATES)
-    chain = maximise(np.ones(STATES), 50.0 * move, emit / emit.sum(0) * 100.0, unigram)
-    if not samples:
-        return chain
-    for _ in range(SEED_ROUNDS):
-        found = [expectations(columns, chain) for _, columns in groups(samples)]
-        chain = maximise(*[sum(x) for x in zip(*found)], unigram)
-    return chain
+    return maximise(np.ones(STATES), 50.0 * move, emit / emit.sum(0) * 100.0, unigram)
 
 
 # ---- over tables ------------------------------------------------------------------
@@ -262,27 +255,44 @@ def _symbols(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(s, np.uint16) for s in batch.column("symbols").to_pylist()]
 
 
-def baum_welch(encoded: DataFrame, chain: Chain, unigram: np.ndarray) -> Chain:
-    """One round: expected counts of every training document, summed over all partitions."""
+def baum_welch(encoded: DataFrame, chain: Chain, unigram: np.ndarray) -> tuple[Chain, float]:
+    """One round over every training document, summed over all partitions.
+
+    The chain of the expected counts, and the log-likelihood under the chain given.
+    """
     shared = encoded.sparkSession.sparkContext.broadcast(chain)
     names = [f"s{i}" for i in range(STATES)]
 
     def work(batches):
         first, moved, counts = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((SYMBOLS, STATES))
+        logs = np.zeros(STATES)
         for batch in batches:
             for _, columns in groups(_symbols(batch)):
                 found = expectations(columns, shared.value)
                 first, moved, counts = first + found[0], moved + found[1], counts + found[2]
+                logs[0] += found[3]
         used = np.flatnonzero(counts.any(1))
-        rows = np.concatenate([first[None], moved, counts[used]])
-        ids = np.concatenate([np.arange(-1 - STATES, 0), used])
+        rows = np.concatenate([logs[None], first[None], moved, counts[used]])
+        ids = np.concatenate([np.arange(-2 - STATES, 0), used])
         yield pa.RecordBatch.from_arrays([pa.array(ids), *[pa.array(rows[:, i]) for i in range(STATES)]], ["id", *names])
 
     parts = encoded.select("symbols").mapInArrow(work, "id bigint, " + ", ".join(f"{n} double" for n in names))
     summed = parts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).toPandas()  # SYMBOLS rows at most
-    table = np.zeros((1 + STATES + SYMBOLS, STATES))
-    table[summed["id"].to_numpy() + 1 + STATES] = summed[names].to_numpy()
-    return maximise(table[0], table[1:1 + STATES], table[1 + STATES:], unigram)
+    shared.unpersist()
+    table = np.zeros((2 + STATES + SYMBOLS, STATES))
+    table[summed["id"].to_numpy() + 2 + STATES] = summed[names].to_numpy()
+    return maximise(table[1], table[2:2 + STATES], table[2 + STATES:], unigram), float(table[0, 0])
+
+
+def trained(encoded: DataFrame, lexicon: Lexicon) -> Chain:
+    """Rounds of Baum-Welch until one gains less than ``GAIN`` a token, ``ROUNDS`` at most."""
+    chain, before = beginning(lexicon.unigram), -np.inf
+    for _ in range(ROUNDS):
+        chain, found = baum_welch(encoded, chain, lexicon.unigram)
+        if found - before < GAIN * lexicon.total:
+            break
+        before = found
+    return chain
 
 
 def likelihoods(encoded: DataFrame, chain: Chain, lexicon: Lexicon) -> DataFrame:
@@ -311,14 +321,7 @@ def score(docs: DataFrame, held_out, scratch: Scratch, id_col: str = "doc_id", t
     counts = scratch.table(count_tokens(given.where("NOT held_out"), "_text"), "counts")
     lexicon = Lexicon(counts)
     encoded = scratch.table(encode(given.withColumn("_row", F.monotonically_increasing_id()), lexicon), "encoded")
-    training = encoded.where("NOT held_out")
-    # about 4 * SEED_DOCS rows by hash, of which those that come first are taken
-    drawn = training.where(F.col("n_tokens") <= SEED_TOKENS).withColumn("_order", F.xxhash64("id", "n_tokens")).where(
-        F.pmod("_order", F.lit(max(lexicon.ends, 1))) < 4 * SEED_DOCS)
-    sample = drawn.orderBy("_order", "symbols").limit(SEED_DOCS).select("symbols").collect()
-    chain = seed([np.frombuffer(r.symbols, np.uint16) for r in sample], lexicon.unigram)
-    for _ in range(ROUNDS):
-        chain = baum_welch(training, chain, lexicon.unigram)
+    chain = trained(encoded.where("NOT held_out"), lexicon)
 
     paths = likelihoods(encoded, chain, lexicon)
     rare = encoded.select("_row", F.explode("rare").alias("token")).join(

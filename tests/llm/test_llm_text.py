@@ -166,6 +166,15 @@ def test_language_model_is_a_distribution(spark, scratch):
     assert {r.n_known for r in nothing} == {0} and {r.train_tokens for r in nothing} == {0}
 
 
+def test_language_model_learns_from_long_documents(spark, scratch):
+    rnd = random.Random(2)
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"{'abcd'[j // 40 % 4]}{rnd.randrange(100)}" for j in range(1200))) for i in range(40)],
+        "doc_id bigint, text string")
+    for r in hmm.score(docs, F.col("doc_id") % 4 == 0, scratch).collect():
+        assert r.score - r.base_score > 0.48 * r.n_tokens  # about log10(4) can be learned
+
+
 def test_mix_comes_near_its_targets(spark, scratch):
     rnd = random.Random(4)
     rows = [(i, "w " * rnd.randint(0, 40), rnd.choice(["a", "a", "a", "b", "c", None])) for i in range(2000)]

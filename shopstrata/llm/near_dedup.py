@@ -3,9 +3,10 @@
 The hashes of a set's shingles, sorted, begin with its sketch: the ``SKETCH`` smallest. Sets of
 similarity s agree on most of the union's smallest hashes, so in a similar pair some ``RUN``
 consecutive hashes of one sketch are consecutive in the other too. Such runs are the keys of
-inverted lists: they hold similar sets, but seldom two sets that just share a passage. (For
-sets that fit into their sketch a common run is certain; for longer ones, at similarity 0.85
-exactly, the chance to have none is about 6e-9.)
+inverted lists: they hold similar sets, but seldom two sets that just share a passage. Below a
+threshold of 0.85 runs are one shorter. (For sets that fit into their sketch a common run is
+certain; for longer ones, at similarity 0.85 exactly, the chance to have none is about 6e-9, and
+at 0.8 with runs of three about 1e-10.)
 
 Sets that are equal form one class and are compared once. Lists give overlaps, estimates from
 the sketch of the union drop those far below the threshold, and what is left forms clusters;
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -63,12 +65,26 @@ def sketch(values: np.ndarray, size: int = SKETCH) -> np.ndarray:
     return (values[:size] >> np.uint64(32)).astype(np.uint32)
 
 
-def list_keys(sketched: np.ndarray, set_size: int) -> np.ndarray:
-    """Keys of the inverted lists: runs of RUN hashes, and runs of one less for tiny sets."""
+@cache
+def run_lengths(set_size: int, percent: int) -> list[int]:
+    """Lengths of the runs that are keys of a set of so many shingles.
+
+    ``common`` shingles among ``other`` ones in the union have a run of common / (other + 1), rounded
+    up, at least. Small sets get all such lengths that a pair at the threshold may need.
+    """
+    longest = RUN if percent >= 85 else RUN - 1
+    found = {longest}
+    if set_size <= SKETCH:
+        for common in range(1, set_size + 1):
+            most = common * (100 - percent) // percent  # others in the union
+            found.update(min(longest, -(-common // (other + 1))) for other in range(max(1, set_size - common), most + 1))
+    return sorted(found, reverse=True)
+
+
+def list_keys(sketched: np.ndarray, set_size: int, percent: int = PERCENT) -> np.ndarray:
+    """Keys of the inverted lists: runs of hashes, in small sets also shorter ones."""
     wide = mix(sketched.astype(np.uint64) + np.uint64(1))
-    keys = [hash_windows(wide, RUN, seed=6)]
-    if set_size <= 2 * RUN:
-        keys.append(hash_windows(wide, RUN - 1, seed=8))
+    keys = [hash_windows(wide, n, seed=6 + 2 * (RUN - n)) for n in run_lengths(min(set_size, SKETCH + 1), percent)]
     return np.unique(np.concatenate(keys)) if len(keys) > 1 else keys[0]
 
 
@@ -192,14 +208,14 @@ def _changes(batch: pa.RecordBatch, keys) -> np.ndarray:
 # ---- the steps --------------------------------------------------------------------
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     """(_id, _mark, n, digest, sketch) of every (_id, _mark, _text); digest is null for empty sets."""
 
     def work(batches):
         for batch in batches:
             texts = batch.column("_text")
             for low, high in text_slices(texts):
-                sets = shingle_sets(words_of(texts.slice(low, high - low), lower=True))
+                sets = shingle_sets(words_of(texts.slice(low, high - low), lower=True), width)
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
                 part = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays([
@@ -211,13 +227,13 @@ def sketches(docs: DataFrame) -> DataFrame:
         work, f"_id {dict(docs.dtypes)['_id']}, _mark int, n bigint, digest binary, sketch binary")
 
 
-def listings(classes: DataFrame) -> DataFrame:
+def listings(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(key, cls): every class under each of its keys."""
 
     def work(batches):
         for batch in batches:
             keys = [
-                list_keys(np.frombuffer(s, np.uint32), n)
+                list_keys(np.frombuffer(s, np.uint32), n, percent)
                 for s, n in zip(batch.column("sketch").to_pylist(), batch.column("n").to_pylist())]
             if keys:
                 owner = np.repeat(batch.column("cls").to_numpy(), [len(k) for k in keys])
@@ -263,7 +279,7 @@ def overlaps(members: DataFrame, percent: int) -> DataFrame:
     return members.mapInArrow(work, "a bigint, b bigint")
 
 
-def confirm(members: DataFrame, percent: int, keys: list[str]) -> DataFrame:
+def confirm(members: DataFrame, percent: int, keys: list[str], width: int = SHINGLE) -> DataFrame:
     """(a, b): spanning forest of the exact links within each group of ``keys``.
 
     Rows are (keys, cls, tree, probe, _text); classes of one ``tree`` are known to be linked and
@@ -286,7 +302,7 @@ def confirm(members: DataFrame, percent: int, keys: list[str]) -> DataFrame:
                 sets = []
                 texts = part.column("_text").take(pa.array(picked))
                 for a, b in text_slices(texts):
-                    sets += shingle_sets(words_of(texts.slice(a, b - a), lower=True))
+                    sets += shingle_sets(words_of(texts.slice(a, b - a), lower=True), width)
                 forest, seen = Forest(len(picked)), {}
                 for i, row in enumerate(picked):
                     if tree[row] is not None:
@@ -306,9 +322,9 @@ def text_mark(text: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-                         percent: int = PERCENT) -> DataFrame:
+                         percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged: the smallest id of each group."""
-    found = near_duplicates(docs, scratch, id_col, text_col, percent)
+    found = near_duplicates(docs, scratch, id_col, text_col, percent, width)
     gone = scratch.table(found.where("NOT kept").select("id", "mark").distinct(), "gone")
     marked = docs.withColumn("_mark", text_mark(F.col(text_col)))
     same = marked[id_col].eqNullSafe(gone["id"]) & (marked["_mark"] == gone["mark"])
@@ -316,24 +332,24 @@ def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_i
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
     """(id, mark, n_shingles, component_id, kept) for every row; ``mark`` is a hash of the text.
 
     Two texts are linked when 100 * common shingles >= percent * all shingles of both, on distinct
-    3-word shingles of the lower-cased text (A-Z). ``component_id`` is the smallest id reachable
+    shingles of ``width`` words of the lower-cased text (A-Z). ``component_id`` is the smallest id reachable
     by links. Null and empty texts have no shingles and are linked with nothing. Rows with equal
     sets, repeated rows included, are linked. A null id is passed over as the smallest.
     """
     given = docs.select(
         F.col(id_col).alias("_id"), text_mark(F.col(text_col)).alias("_mark"),
         F.col(text_col).alias("_text"))
-    sketched = scratch.table(sketches(given), "sketches")
+    sketched = scratch.table(sketches(given, width), "sketches")
     classes = scratch.table(
         sketched.where("n > 0").groupBy("digest").agg(
             F.min("_id").alias("least"), F.min(F.struct("_id", "_mark", "n", "sketch")).alias("r"))
         .select(F.monotonically_increasing_id().alias("cls"), "digest", "least", "r.*"), "classes")
 
-    listed = listings(classes)
+    listed = listings(classes, percent)
     shared = scratch.table(listed.groupBy("key").agg(F.count("*").alias("size"), F.min("cls").alias("first"))
                            .where("size > 1"), "keys")
     members = scratch.table(listed.join(shared, "key"), "members")
@@ -360,7 +376,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
         "cluster", F.explode(meet).alias("at"), "cls", F.lit(None).cast("bigint").alias("tree"), F.lit(True).alias("probe"), "_text")
     keys = ["cluster", "at"]
     links = scratch.table(
-        confirm(first.repartition(tasks, *keys).sortWithinPartitions(*keys), percent, keys), "links")
+        confirm(first.repartition(tasks, *keys).sortWithinPartitions(*keys), percent, keys, width), "links")
 
     # in clusters of several blocks: those outside the largest tree meet everyone
     parts = scratch.table(components(links, scratch, "first"), "trees")
@@ -381,7 +397,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
             F.lit(True).alias("probe"), "_text")
         keys = ["cluster", "chunk", "at"]
         more = scratch.table(confirm(
-            others.unionByName(probes).repartition(tasks, *keys).sortWithinPartitions(*keys), percent, keys), "more")
+            others.unionByName(probes).repartition(tasks, *keys).sortWithinPartitions(*keys), percent, keys, width), "more")
         known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
         parts = components(known.unionByName(more), scratch, "all")
     scratch.drop("texts")

@@ -121,6 +121,31 @@ def test_dropping_near_duplicates_keeps_columns(spark, scratch):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r[0] for r in stay)
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_small_sets_at_the_threshold_share_a_key(percent):
+    for common in range(1, 61):
+        for other in range(1, common * (100 - percent) // percent + 1):
+            gaps = [common * (i + 1) // (other + 1) - common * i // (other + 1) for i in range(other + 1)]
+            union = [(i, 0) for i in np.cumsum(gaps)[:-1]] + [(i, 1) for i in range(common)]
+            both = np.array([shared for _, shared in sorted(union)], bool)
+            hashes = np.arange(1, len(both) + 1, dtype=np.uint32)
+            for mine in (np.ones(other, bool), np.arange(other) % 2 == 0):
+                one, two = both.copy(), both.copy()
+                one[~both], two[~both] = mine, ~mine
+                keys = [near_dedup.list_keys(hashes[x], x.sum(), percent) for x in (one, two)]
+                assert len(np.intersect1d(*keys)), (common, other)
+
+
+def test_five_words_at_four_fifths(spark, scratch):
+    old = [f"w{i}" for i in range(400)]
+    changed = [f"new{w}" if i % 40 == 20 else w for i, w in enumerate(old)]  # 3 words: 0.860, 5 words: 0.776
+    longer = [f"v{i}" for i in range(1180)]  # the last 180 appended: 0.847 on either
+    tiny = "a b c d e f g h".split()  # 4 shingles of 5
+    rows = [(i, " ".join(x)) for i, x in enumerate([old, changed, longer[:1000], longer, tiny, [*tiny, "z"]])]
+    kept = near_dedup.drop_near_duplicates(table(spark, rows), scratch, percent=80, width=5)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 4]
+
+
 def test_components(spark, scratch):
     rnd = random.Random(1)
     edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1100)]

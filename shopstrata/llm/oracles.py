@@ -77,3 +77,42 @@ SELECT doc_id, (bytes + 8)::BIGINT AS size, text_crc32, 'key' AS law, shard::INT
        row_number() OVER (PARTITION BY shard ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS slot, grown_shard::INTEGER AS grown_shard
 FROM won JOIN checks USING (doc_id)
 """
+
+#: One byte after another into the checksum; ``steps`` holds its table.
+STEPS = """steps AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(
+        list_prepend(b::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen({text})),
+        lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+#: Islands of places that agree with the place one period on, for every period up to a third of a text.
+RUNS = f"""
+WITH {STEPS},
+given AS (
+    SELECT row_number() OVER () AS r, doc_id, {words(TRIM)} AS w,
+           CASE WHEN doc_id IS NULL THEN 1 ELSE {crc32("doc_id::VARCHAR")} END AS h
+    FROM documents, steps),
+cut AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM given),
+shaped AS (
+    SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+        w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM cut),
+each AS (SELECT r, n, unnest(w) AS word, unnest(range(n)) AS i FROM shaped),
+agree AS (
+    SELECT x.r, x.i, y.i - x.i AS q FROM each x JOIN each y ON x.r = y.r AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS k FROM agree),
+stretches AS (SELECT r, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY r, q, k),
+found AS (SELECT r, s, l, min(q) AS q FROM stretches WHERE l >= greatest(24, 3 * q) GROUP BY r, s, l),
+best AS (SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY r ORDER BY l::DOUBLE / q DESC, s, q) = 1),
+listed AS (
+    SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listing FROM found GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM found),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS k FROM each ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
+       (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
+FROM shaped LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""

@@ -11,6 +11,7 @@ from shopstrata.llm import (
     mixing,
     near_dedup,
     oracles,
+    periodic,
     sharding,
     substring,
     toxicity,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_hmm": hmm.query,
     "op9_sharding": sharding.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_periodic": periodic.query,
 }
 
 ORACLES = {
@@ -37,4 +39,5 @@ ORACLES = {
     "op6_embedding_dedup": oracles.VECTORS,
     "op9_sharding": oracles.SHARDS,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op11_periodic": oracles.RUNS,
 }

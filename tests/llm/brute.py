@@ -96,3 +96,18 @@ def exact(rows):
         keep = max((x for x in group if x is not None), default=None)
         out.append((i, keep, len(group), i == keep, sha(lower(text))))
     return in_order(out)
+
+
+def periodic(w, least=24, power=3):
+    """(start, length, period) of all runs, by comparing the words with themselves one period on."""
+    found = {}
+    for q in range(1, len(w) // power + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(least, power * q):
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i + 1)
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))

@@ -15,6 +15,7 @@ from shopstrata.llm import (
     sharding,
     substring,
     toxicity,
+    warc,
 )
 
 QUERIES = {
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_sharding": sharding.query,
     "op10_exact_dedup": exact_dedup.query,
     "op11_periodic": periodic.query,
+    "op12_warc": warc.query,
 }
 
 ORACLES = {
@@ -40,4 +42,5 @@ ORACLES = {
     "op9_sharding": oracles.SHARDS,
     "op10_exact_dedup": exact_dedup.SQL,
     "op11_periodic": oracles.RUNS,
+    "op12_warc": warc.SQL,
 }

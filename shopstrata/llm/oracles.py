@@ -116,3 +116,33 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIG
        (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listing, '')) AS runs_sha256, sha256(coalesce(k, '')) AS collapsed_sha256
 FROM shaped LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
 """
+
+#: Words that agree when a letter is left out, followed from form to form.
+SPELLING = f"""
+WITH RECURSIVE {STEPS},
+found AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id,
+           unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents),
+counted AS (SELECT id, run, id || ':' || run AS k, count(*) AS c FROM found GROUP BY id, run),
+checked AS (SELECT run, c, {crc32("k")} AS h FROM counted, steps),
+altered AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+    FROM checked),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM altered WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+less AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS v FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.v = b.word
+    UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.v = b.word),
+best AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+         QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, other) = 1),
+judged AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+           CASE WHEN b.n >= 2 * w.n THEN other END AS form, CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n
+    FROM words w LEFT JOIN best b USING (word)),
+steps_on(word, spot) AS (
+    SELECT word, word FROM judged UNION ALL SELECT s.word, j.form FROM steps_on s JOIN judged j ON j.word = s.spot WHERE j.form IS NOT NULL),
+ends AS (SELECT s.word, s.spot AS root FROM steps_on s JOIN judged j ON j.word = s.spot WHERE j.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
+"""

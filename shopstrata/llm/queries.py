@@ -13,6 +13,7 @@ from shopstrata.llm import (
     oracles,
     periodic,
     sharding,
+    spelling,
     substring,
     toxicity,
     warc,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.query,
     "op11_periodic": periodic.query,
     "op12_warc": warc.query,
+    "op13_spelling": spelling.query,
 }
 
 ORACLES = {
@@ -43,4 +45,5 @@ ORACLES = {
     "op10_exact_dedup": exact_dedup.SQL,
     "op11_periodic": oracles.RUNS,
     "op12_warc": warc.SQL,
+    "op13_spelling": oracles.SPELLING,
 }

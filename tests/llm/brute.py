@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 import numpy as np
 
@@ -111,3 +112,32 @@ def periodic(w, least=24, power=3):
                 found.setdefault((i, j + q - i), q)
             i = max(j, i + 1)
     return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    a, b = sorted((a, b), key=len)
+    i = 0
+    while i < len(a) and a[i] == b[i]:
+        i += 1
+    return a[i + 1:] == b[i + 1:] if len(a) == len(b) else a[i:] == b[i + 1:]
+
+
+def spelling(rows, least_count=3, slip=None):
+    total = collections.Counter()
+    for key, text in rows:
+        for run in re.findall("[a-zÀ-ÿ]+", lower(text)):
+            check = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if slip and check % slip == 0:
+                run = run[:check % len(run)] + run[check % len(run) + 1:]
+            total[run] += 1
+    total = {w: n for w, n in total.items() if len(w) >= 5 and n >= least_count}
+    near = {w: [o for o in total if one_edit(w, o)] for w in total}
+    best = {w: min(near[w], key=lambda o: (-total[o], o)) for w in total if near[w]}
+    form = {w: o for w, o in best.items() if total[o] >= 2 * total[w]}
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return in_order((w, form.get(w), root(w), n, len(near[w]), total[form[w]] if w in form else None) for w, n in total.items())

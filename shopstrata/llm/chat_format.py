@@ -22,7 +22,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+
+from shopstrata.llm.scratch import unused
 
 OPEN, CLOSE = "<|turn|>", "<|end|>\n"
 NEWLINE = "<|nl|>"  # stands for a line feed inside a role
@@ -34,14 +35,14 @@ TURN = "struct<turn:bigint,role:string,text:string>"
 
 @dataclass(frozen=True)
 class Layout:
-    """``shape`` lists the nested field paths; ``turns`` maps a record to an array of TURN."""
+    """``paths`` lists the nested field paths; ``turns`` maps a record to an array of TURN."""
 
-    shape: str
+    paths: tuple[str, ...]
     turns: Callable[[Callable[[str], Column]], Column]
 
     @property
     def fingerprint(self) -> str:
-        return hashlib.md5(self.shape.encode()).hexdigest()
+        return fingerprint(self.paths)
 
 
 def _turns(*pairs: tuple[str, Column]) -> Column:
@@ -65,55 +66,86 @@ def _request(get, instruction: str, extra: str) -> Column:
     return F.when(given == "", get(instruction)).otherwise(F.concat_ws("\n\n", get(instruction), given))
 
 
+def _pair(asked: str, answered: str):
+    return lambda get: _turns(("user", get(asked)), ("assistant", get(answered)))
+
+
+def _system_pair(asked: str, answered: str):
+    return lambda get: _turns(("system", get("system")), ("user", get(asked)), ("assistant", get(answered)))
+
+
+#: Field paths of each layout, elements of arrays included, and how they become turns.
 JSON_LAYOUTS: dict[str, Layout] = {
-    "prompt-completion": Layout("OBJECT<completion: *, prompt: *>", lambda get: _turns(
-        ("user", get("prompt")), ("assistant", get("completion")))),
-    "prompt-response": Layout("OBJECT<prompt: *, response: *>", lambda get: _turns(
-        ("user", get("prompt")), ("assistant", get("response")))),
-    "system-prompt-response": Layout("OBJECT<prompt: *, response: *, system: *>", lambda get: _turns(
-        ("system", get("system")), ("user", get("prompt")), ("assistant", get("response")))),
-    "instruction": Layout("OBJECT<instruction: *, output: *>", lambda get: _turns(
-        ("user", get("instruction")), ("assistant", get("output")))),
-    "instruction-input": Layout("OBJECT<input: *, instruction: *, output: *>", lambda get: _turns(
+    "prompt-completion": Layout(("completion", "prompt"), _pair("prompt", "completion")),
+    "prompt-response": Layout(("prompt", "response"), _pair("prompt", "response")),
+    "system-prompt-completion": Layout(("completion", "prompt", "system"), _system_pair("prompt", "completion")),
+    "system-prompt-response": Layout(("prompt", "response", "system"), _system_pair("prompt", "response")),
+    "instruction": Layout(("instruction", "output"), _pair("instruction", "output")),
+    "instruction-input": Layout(("input", "instruction", "output"), lambda get: _turns(
         ("user", _request(get, "instruction", "input")), ("assistant", get("output")))),
-    "messages": Layout("OBJECT<messages: ARRAY<OBJECT<content: *, role: *>>>", lambda get: _messages(
+    "system-instruction": Layout(("instruction", "output", "system"), _system_pair("instruction", "output")),
+    "system-instruction-input": Layout(("input", "instruction", "output", "system"), lambda get: _turns(
+        ("system", get("system")), ("user", _request(get, "instruction", "input")), ("assistant", get("output")))),
+    "messages": Layout(("messages", "messages.content", "messages.role"), lambda get: _messages(
         get("messages", "array<struct<role:string,content:string>>"), "role", "content")),
-    "from-value": Layout("OBJECT<conversations: ARRAY<OBJECT<from: *, value: *>>>", lambda get: _messages(
+    "from-value": Layout(("conversations", "conversations.from", "conversations.value"), lambda get: _messages(
         get("conversations", "array<struct<from:string,value:string>>"), "from", "value")),
+    "no-messages": Layout(("messages",), lambda get: F.array().cast(f"array<{TURN}>")),
+    "no-conversations": Layout(("conversations",), lambda get: F.array().cast(f"array<{TURN}>")),
 }
+_KNOWN = sorted({path for layout in JSON_LAYOUTS.values() for path in layout.paths})
+_LISTS = sorted({path.split(".")[0] for path in _KNOWN if "." in path})
 
 #: Tables with a row for each turn: names of the conversation, position, role and text columns.
-TABLE_LAYOUTS = {
-    "OBJECT<conv_id: *, role: *, text: *, turn: *>": ("conv_id", "turn", "role", "text"),
-    "OBJECT<content: *, conversation_id: *, position: *, role: *>":
-        ("conversation_id", "position", "role", "content"),
-}
-_TABLE_NAMES = {name for names in TABLE_LAYOUTS.values() for name in names}
+TABLE_LAYOUTS = (("conv_id", "turn", "role", "text"), ("conversation_id", "position", "role", "content"))
+
 
+def fingerprint(paths) -> str:
+    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
 
-def shape_of(kind: DataType, known: set[str] | None = None) -> str:
-    """Nested field paths of a type; ``known`` leaves other top-level names out."""
-    if isinstance(kind, StructType):
-        fields = sorted((f.name, shape_of(f.dataType)) for f in kind if known is None or f.name in known)
-        return "OBJECT<" + ", ".join(f"{n}: {s}" for n, s in fields) + ">"
-    if isinstance(kind, ArrayType):
-        return f"ARRAY<{shape_of(kind.elementType)}>"
-    return "*"
 
+def known_paths(record: Column) -> Column:
+    """Those field paths of a JSON record that some layout has, sorted; other fields are passed over.
 
-def json_shape(record: Column) -> Column:
-    """Nested field paths of each JSON record in the same notation; null for broken JSON."""
-    scalars = r"(?<=[<\s]|^)(?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|DATE|TIMESTAMP(?:_NTZ)?|DECIMAL\(\d+,\s?\d+\))(?=[,>]|$)"
-    return F.regexp_replace(F.schema_of_variant(F.try_parse_json(record)), scalars, "*")
+    A list counts if it is empty or its elements are objects; null for what is no JSON object.
+    """
+    tree = F.try_parse_json(record)
+    names = F.json_object_keys(F.when(F.schema_of_variant(tree).startswith("OBJECT<"), record))
+    found = F.array_intersect(names, F.array(*map(F.lit, _KNOWN)))
+    for name in _LISTS:
+        kind = F.schema_of_variant(F.try_variant_get(tree, f"$.{name}", "variant"))
+        inner = [p for p in _KNOWN if p.startswith(f"{name}.")]
+        has = [F.when(kind.rlike(rf"^ARRAY<OBJECT<(?:.*, )?{p.split('.')[1]}: "), F.lit(p)) for p in inner]
+        found = F.when(kind.startswith("ARRAY<OBJECT<"), F.concat(found, F.array_compact(F.array(*has)))).when(
+            kind == "ARRAY<VOID>", found).otherwise(F.array_remove(found, name))
+    return F.array_sort(found)
+
+
+def chosen_layout(record: Column) -> Column:
+    """Name of the layout of a JSON record: by the fingerprint of its known paths, else by rank.
+
+    A record that mixes layouts gets the one with most paths, then the first in
+    ``JSON_LAYOUTS``, of those whose paths it all has; null where it has none in full.
+    """
+    paths = known_paths(record)
+    mark = F.md5(F.array_join(paths, "\n").cast("binary"))
+    exact = F.create_map(*[F.lit(x) for name, layout in JSON_LAYOUTS.items() for x in (layout.fingerprint, name)])
+    ranked = sorted(JSON_LAYOUTS.items(), key=lambda item: -len(item[1].paths))
+    held = [F.when(F.size(F.array_except(F.array(*map(F.lit, layout.paths)), paths)) == 0, name) for name, layout in ranked]
+    return F.coalesce(exact[mark], *held)
 
 
 def table_turns(df: DataFrame) -> DataFrame:
     """Canonical (conv_id, turn, role, text) of a table that has a row for each turn.
 
-    Other columns are ignored. Null role and null text become empty.
+    The layout is looked up by the fingerprint of the known column names; a table that has the
+    names of several layouts gets the first of them. Other columns are ignored. Null role and
+    null text become empty.
     """
-    found = {hashlib.md5(s.encode()).hexdigest(): names for s, names in TABLE_LAYOUTS.items()}
-    names = found.get(hashlib.md5(shape_of(df.schema, _TABLE_NAMES).encode()).hexdigest())
+    known = {name for layout in TABLE_LAYOUTS for name in layout}
+    mark = fingerprint(known & set(df.columns))
+    exact = [names for names in TABLE_LAYOUTS if fingerprint(names) == mark]
+    names = next(iter([*exact, *(n for n in TABLE_LAYOUTS if set(n) <= set(df.columns))]), None)
     if names is None:
         raise ValueError(f"no layout for columns {df.columns}")
     conv, turn, role, text = (F.col(n) for n in names)
@@ -123,20 +155,24 @@ def table_turns(df: DataFrame) -> DataFrame:
 
 
 def json_turns(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
-    """(conv_id, layout, turn, role, text) of JSON records in any of the known layouts.
+    """(conv_id, layout, turn, role, text, record) of JSON records in any of the known layouts.
 
-    A record of an unknown layout, or one that is no JSON, keeps one row with null layout and turn.
+    Fields that no layout knows are passed over, in messages too. A record without messages keeps
+    one row with null turn. So does a record of no layout and what is no JSON object, with
+    null layout; ``record`` holds it as it came, and is null everywhere else.
     """
     record = F.try_parse_json(F.col(json_col))
     get = lambda name, kind="string": F.try_variant_get(record, f"$.{name}", kind)
-    mark = F.md5(json_shape(F.col(json_col)).cast("binary"))
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(f"array<{TURN}>")
+    (layout,) = unused(df, "_layout")
+    named_rows = df.withColumn(layout, chosen_layout(F.col(json_col)))
+    turns = F.lit(None).cast(f"array<{TURN}>")
     for name, entry in JSON_LAYOUTS.items():
-        layout = F.when(mark == entry.fingerprint, name).otherwise(layout)
-        turns = F.when(mark == entry.fingerprint, entry.turns(get)).otherwise(turns)
-    rows = df.select(F.col(id_col).alias("conv_id"), layout.alias("layout"), F.explode_outer(turns).alias("t"))
+        turns = F.when(F.col(layout) == name, entry.turns(get)).otherwise(turns)
+    rows = named_rows.select(
+        F.col(id_col).alias("conv_id"), F.col(layout).alias("layout"),
+        F.when(F.col(layout).isNull(), F.col(json_col)).alias("record"), F.explode_outer(turns).alias("t"))
     return rows.select("conv_id", "layout", "t.turn", F.coalesce("t.role", F.lit("")).alias("role"),
-                       F.coalesce("t.text", F.lit("")).alias("text"))
+                       F.coalesce("t.text", F.lit("")).alias("text"), "record")
 
 
 def escape(text: Column) -> Column:

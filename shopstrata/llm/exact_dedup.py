@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import Scratch, documents
+from shopstrata.functions.columns import named
+from shopstrata.llm.scratch import Scratch, documents, one_row_each, unused
 
 HEAVY = 1024  # most digests treated as heavy: the bound of the broadcast
 TRACKED = 16384  # counters of a sketch
@@ -73,21 +74,22 @@ def drop_copies(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id",
     """The rows of ``docs`` that stay, all columns unchanged, one row for each distinct text.
 
     Decisions are made on (id, digest) alone; texts are not shuffled for them. The dropped
-    rows' keys come back as an anti-join. Rows that repeat id and text collapse to one.
+    rows' keys come back as an anti-join. Of rows that repeat id and text the least by all
+    columns stays.
     """
+    key, digest, gone_id, gone_digest = unused(docs, "_id", "_digest", "_gone_id", "_gone_digest")
     marked = mark_copies(docs, scratch, id_col, text_col)
-    gone = scratch.table(
-        marked.where(~F.col("kept")).select("id", "digest").distinct(), "gone")
-    keyed = docs.withColumn("_digest", text_digest(F.col(text_col)))
-    left = keyed.join(
-        gone, keyed[id_col].eqNullSafe(gone["id"]) & (keyed["_digest"] == gone["digest"]), "left_anti")
+    names = [F.col("id").alias(gone_id), F.col("digest").alias(gone_digest)]
+    gone = scratch.table(marked.where(~F.col("kept")).select(*names).distinct(), "gone")
     repeated = scratch.table(
-        marked.where("kept").groupBy("id", "digest").count().where("count > 1").select("id", "digest"), "repeated")
-    again = left[id_col].eqNullSafe(repeated["id"]) & (left["_digest"] == repeated["digest"])
+        marked.where("kept").groupBy("id", "digest").count().where("count > 1").select(*names), "repeated")
+    keyed = docs.withColumns({key: named(id_col), digest: text_digest(named(text_col))})
+    same = F.col(key).eqNullSafe(F.col(gone_id)) & (F.col(digest) == F.col(gone_digest))
+    left = keyed.join(gone, same, "left_anti")
     if repeated.isEmpty():
-        return left.select(docs.columns)
-    once = left.join(repeated, again, "left_semi").dropDuplicates([id_col, "_digest"])
-    return left.join(repeated, again, "left_anti").unionByName(once).select(docs.columns)
+        return left.select(*map(named, docs.columns))
+    once = one_row_each(left.join(repeated, same, "left_semi"), [key, digest])
+    return left.join(repeated, same, "left_anti").unionByName(once).select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.llm.scratch import Scratch, documents, short_batches
@@ -166,17 +166,41 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("token", "shape").agg(F.sum("n").alias("n"))
 
 
+def smallest(rows: DataFrame, key: Column, most: int, bins: int = 512) -> tuple[int, int] | None:
+    """(value, rest): rows with a smaller key and ``rest`` of those with this value are ``most``.
+
+    ``key`` is an integer column. Each step counts the rows of at most ``bins`` ranges and goes on
+    inside the one where the sum passes ``most``. None if there are not more rows than that.
+    """
+    keyed = rows.select(key.cast("decimal(20,0)").alias("k"))
+    low, high, count = keyed.agg(F.min("k"), F.max("k"), F.count("*")).first()
+    if count <= most:
+        return None
+    low, high, rest = int(low), int(high), most
+    while low < high:
+        width = (high - low) // bins + 1
+        place = F.expr(f"(k - {low}BD) div {width}BD").alias("place")
+        sizes = keyed.where(F.col("k").between(low, high)).groupBy(place).count().collect()
+        for number, size in sorted(map(tuple, sizes)):
+            if size > rest:
+                break
+            rest -= size
+        low = low + number * width
+        high = min(high, low + width - 1)
+    return low, rest
+
+
 def frequent(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
-    """The most frequent tokens, ``most`` rows at most, found from a histogram of at most 512 bins."""
-    binned = counts.withColumn("_bin", F.floor(F.log2("n") * 8).cast("int"))
-    sizes = sorted(((r["_bin"], r["count"]) for r in binned.groupBy("_bin").count().collect()), reverse=True)
-    least, taken = 1 << 30, 0
-    for number, size in sizes:
-        taken += size
-        if taken > most:
-            break
-        least = number
-    return binned.where(F.col("_bin") >= least).drop("_bin")
+    """The ``most`` most frequent tokens, all if there are not more; of equal counts the smaller tokens."""
+    edge = smallest(counts, -F.col("n"), most)
+    if edge is None:
+        return counts
+    above = counts.where(F.col("n") > -edge[0])
+    equal = counts.where(F.col("n") == -edge[0])
+    last = smallest(equal, F.col("token"), edge[1])
+    if last is None:
+        return above.unionByName(equal)
+    return above.unionByName(equal.where(F.col("token") < last[0]))
 
 
 class Lexicon:

@@ -16,7 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import Scratch, documents, word_count
+from shopstrata.functions.columns import named
+from shopstrata.llm.scratch import Scratch, documents, unused, word_count
 
 WEIGHTS = (5, 2, 1)  # of the sources in code point order, repeating
 SHARE = 1.5  # budget as a share of all sizes
@@ -116,13 +117,14 @@ def mixed(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: s
 
     Rows that repeat both id and text count as often as the one taken most.
     """
+    mark, copy, key, text, times = unused(docs, "_mark", "_copy", "_key", "_text", "_times")
     found = mix(docs, scratch, id_col, text_col).where("times > 0")
     found = scratch.table(
-        found.groupBy(F.col("id").alias("_i"), F.col("mark").alias("_m")).agg(F.max("times").alias("_times")), "taken")
-    marked = docs.withColumn("_mark", F.xxhash64(text_col))
-    same = marked[id_col].eqNullSafe(found["_i"]) & (marked["_mark"] == found["_m"])
+        found.groupBy(F.col("id").alias(key), F.col("mark").alias(text)).agg(F.max("times").alias(times)), "taken")
+    marked = docs.withColumn(mark, F.xxhash64(named(text_col)))
+    same = marked[id_col].eqNullSafe(found[key]) & (marked[mark] == found[text])
     return marked.join(found, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(docs.columns)
+        copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

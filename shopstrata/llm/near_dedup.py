@@ -6,7 +6,8 @@ consecutive hashes of one sketch are consecutive in the other too. Such runs are
 inverted lists: they hold similar sets, but seldom two sets that just share a passage. Below a
 threshold of 0.85 runs are one shorter. (For sets that fit into their sketch a common run is
 certain; for longer ones, at similarity 0.85 exactly, the chance to have none is about 6e-9, and
-at 0.8 with runs of three about 1e-10.)
+at 0.8 with runs of three about 1e-10. Together with the chance of an estimate below its floor, at
+most 1.5e-9, such a pair is missed with a chance below 8e-9.)
 
 Sets that are equal form one class and are compared once. Lists give overlaps, estimates from
 the sketch of the union drop those far below the threshold, and what is left forms clusters;
@@ -26,16 +27,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopstrata.functions.columns import named
 from shopstrata.llm.components import components
-from shopstrata.llm.scratch import Scratch, documents
+from shopstrata.llm.scratch import Scratch, documents, unused
 from shopstrata.llm.words import Words, hash_windows, hash_words, mix, text_slices, words_of
 
 SHINGLE = 3
 PERCENT = 85
 SKETCH = 64
 RUN = 4
-ESTIMATE = 32  # hashes used in the lists
-SLACK = 5.5  # standard errors below the threshold at which an estimate is dropped
+SLACK = 7  # standard errors below the threshold at which an estimate is dropped
 LIST = 1024  # longer lists are joined whole, without estimates; clusters settle them exactly
 BLOCK = 256  # members of a cluster that meet in one task
 HEAD = 32  # members of a large cluster that every block meets first
@@ -144,20 +145,16 @@ def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
 def linked(probes: list[int], sets: list[np.ndarray], forest: Forest, percent: int) -> list[tuple[int, int]]:
     """Spanning links between the probes and all sets, joined in ``forest``.
 
-    A probe is compared with every set that is not yet in its tree, by sketch and size first.
+    A probe is compared on full sets with every set of fitting size that is not yet in its tree.
     """
-    table, _ = padded([sketch(s).tobytes() for s in sets], SKETCH)
     sizes = np.array([len(s) for s in sets])
-    floor, found, trees = least_estimate(percent, SKETCH), [], None
+    found, trees = [], None
     for p in probes:
         if trees is None:
             trees = np.array([forest.root(i) for i in range(len(sets))])
         apart = np.flatnonzero(
             (trees != trees[p]) & (100 * np.minimum(sizes, sizes[p]) >= percent * np.maximum(sizes, sizes[p])))
-        if not len(apart):
-            continue
-        near = apart[estimate(np.repeat(table[p][None], len(apart), 0), table[apart], SKETCH) >= floor]
-        for other in near.tolist():
+        for other in apart.tolist():
             if forest.root(p) != forest.root(other) and similar(sets[p], sets[other], percent):
                 forest.join(p, other)
                 found.append((p, other))
@@ -245,20 +242,20 @@ def listings(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def overlaps(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs within a list whose estimate may reach the threshold, as a forest in longer lists."""
-    floor = least_estimate(percent, ESTIMATE)
+    floor = least_estimate(percent, SKETCH)
 
     def work(batches):
         for batch in consecutive(batches, "key"):
             starts = _changes(batch, ("key",))
             sizes = np.diff(np.append(starts, batch.num_rows))
             cls = batch.column("cls").to_numpy()
-            table, _ = padded(batch.column("sketch").to_pylist(), ESTIMATE)
+            table, _ = padded(batch.column("sketch").to_pylist(), SKETCH)
             one, two = [], []
             for size in np.unique(sizes[sizes <= 8]).tolist():
                 at = starts[sizes == size]
                 i, j = np.triu_indices(size, 1)
                 x, y = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
-                near = estimate(table[x], table[y], ESTIMATE) >= floor
+                near = estimate(table[x], table[y], SKETCH) >= floor
                 one.append(x[near])
                 two.append(y[near])
             for at, size in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
@@ -267,7 +264,7 @@ def overlaps(members: DataFrame, percent: int) -> DataFrame:
                     if not queue:
                         queue, apart = [int(apart[0])], apart[1:]
                     probe = queue.pop()
-                    near = estimate(np.repeat(table[probe][None], len(apart), 0), table[apart], ESTIMATE) >= floor
+                    near = estimate(np.repeat(table[probe][None], len(apart), 0), table[apart], SKETCH) >= floor
                     one.append(np.full(near.sum(), probe))
                     two.append(apart[near])
                     queue += apart[near].tolist()
@@ -323,12 +320,18 @@ def text_mark(text: Column) -> Column:
 
 def drop_near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
                          percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged: the smallest id of each group."""
+    """The rows of ``docs`` that stay, all columns unchanged: the smallest id of each group.
+
+    Rows that repeat this id in their group all stay (``exact_dedup.drop_copies`` leaves one of
+    those with one text).
+    """
+    key, mark, gone_id, gone_mark = unused(docs, "_id", "_mark", "_gone_id", "_gone_mark")
     found = near_duplicates(docs, scratch, id_col, text_col, percent, width)
-    gone = scratch.table(found.where("NOT kept").select("id", "mark").distinct(), "gone")
-    marked = docs.withColumn("_mark", text_mark(F.col(text_col)))
-    same = marked[id_col].eqNullSafe(gone["id"]) & (marked["_mark"] == gone["mark"])
-    return marked.join(gone, same, "left_anti").select(docs.columns)
+    gone = scratch.table(found.where("NOT kept").select(
+        F.col("id").alias(gone_id), F.col("mark").alias(gone_mark)).distinct(), "gone")
+    marked = docs.withColumns({key: named(id_col), mark: text_mark(named(text_col))})
+    same = F.col(key).eqNullSafe(F.col(gone_id)) & F.col(mark).eqNullSafe(F.col(gone_mark))
+    return marked.join(gone, same, "left_anti").select(*map(named, docs.columns))
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
@@ -354,7 +357,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
                            .where("size > 1"), "keys")
     members = scratch.table(listed.join(shared, "key"), "members")
     short = members.where(F.col("size") <= LIST).select("key", "cls").join(
-        classes.select("cls", F.expr(f"substring(sketch, 1, {4 * ESTIMATE})").alias("sketch")), "cls")
+        classes.select("cls", "sketch"), "cls")
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     near = overlaps(short.repartition(tasks, "key").sortWithinPartitions("key"), percent)
     long = members.where(F.col("size") > LIST).select(F.col("cls").alias("a"), F.col("first").alias("b"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
+from shopstrata.functions.columns import named
 from shopstrata.session import scratch_folder
 
 
@@ -35,6 +37,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added until ``df`` has no such columns."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each value of ``keys``: the least by all columns that can be ordered."""
+    ordered = [named(f.name) for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType != VariantType()]
+    row = F.struct(*map(named, df.columns))
+    (kept,) = unused(df, "_kept")
+    return df.groupBy(*map(named, keys)).agg(F.min_by(row, F.struct(*ordered)).alias(kept)).select(f"{kept}.*")
+
+
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand whole texts to Python in batches of so many rows; a batch lies in a worker's memory at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

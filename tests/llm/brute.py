@@ -47,11 +47,11 @@ def substring(rows, window=35):
     return in_order(out)
 
 
-def near(rows, percent=85):
+def near(rows, percent=85, width=3):
     sets = []
     for _, text in rows:
         w = WORD.findall(lower(text))
-        sets.append(set(zip(w, w[1:], w[2:])) if len(w) >= 3 else {tuple(w)} if w else set())
+        sets.append({tuple(w[j:j + width]) for j in range(max(len(w) - width + 1, min(1, len(w))))})
     parent = list(range(len(rows)))
     for a in range(len(rows)):
         for b in range(a):

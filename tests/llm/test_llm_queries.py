@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -57,6 +58,30 @@ def test_stages_keep_columns(spark, stages):
     assert all(made.columns == columns for _, made in stages[:-1])
 
 
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["_mark", "_digest", "_copy", "_times", "_i", "_m", "_id", "_kept", "_toxicity", "id", "kept", "times", "score", "_gone_id"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.withColumns({n: F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")) for n in names})
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.limit(20).withColumn("_mark", F.lit("other")))
+    for stage in (corpus_pipeline.reject_toxic, corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mix):
+        made = stage(spark, docs, SF)
+        rows = made.collect()
+        assert made.columns == docs.columns and rows
+        assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names if n != "_mark")
+        assert {r["_mark"] for r in rows} <= {"other", *(f"_mark:{r.doc_id}" for r in rows)}
+
+
+def test_of_repeated_rows_the_least_stays(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words, "b"), (1, words, "a"), (1, words, None), (2, words, "c"), (3, "alone in here", "z"), (4, None, "x"), (4, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, note string")
+    assert sorted(map(str, corpus_pipeline.exact(spark, docs, SF).select("doc_id", "note").collect())) == [
+        "Row(doc_id=2, note='c')", "Row(doc_id=3, note='z')", "Row(doc_id=4, note='x')"]
+    assert sorted(map(str, corpus_pipeline.near(spark, docs, SF).select("doc_id", "note").collect())) == [
+        "Row(doc_id=1, note='a')", "Row(doc_id=1, note='b')", "Row(doc_id=1, note=None)", "Row(doc_id=3, note='z')",
+        "Row(doc_id=4, note='x')", "Row(doc_id=4, note='y')"]
+
+
 def test_toxic_documents_go(spark, stages):
     given, made = stages[0]
     model = toxicity.learned_model(spark, given, SF, Scratch(spark, "t"))
@@ -73,7 +98,7 @@ def test_copies_go(stages):
 
 def test_near_copies_go(stages):
     given, made = stages[2]
-    kept = {r[0] for r in brute.near(pairs(given)) if r[3]}
+    kept = {r[0] for r in brute.near(pairs(given), 80, 5) if r[3]}
     assert sorted(pairs(made)) == sorted(p for p in pairs(given) if p[0] in kept)
 
 

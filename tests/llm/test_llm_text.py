@@ -1,3 +1,4 @@
+import json
 import random
 import sys
 import zlib
@@ -272,3 +273,83 @@ def test_layouts_by_fingerprint(spark):
     assert [x[2:] for x in got[3]] == [("user", "u"), ("assistant", "a")]
     assert [x[2:] for x in got[4]] == [("user", "h"), ("assistant", "")]
     assert [got[i] for i in (5, 6, 7)] == [[(None, None, "", "")]] * 3
+
+
+def test_records_with_more_fields_are_turns(spark):
+    records = [
+        (1, '{"prompt": "p", "response": "r", "id": 7, "meta": {"role": "x"}}'),
+        (2, '{"messages": [{"role": "user", "content": "u", "name": "n"}, {"weight": 0, "content": "a", "role": "bot"}]}'),
+        (3, '{"messages": []}'), (4, '{"system": "s", "instruction": "i", "output": "o"}'),
+        (5, '{"prompt": "p", "response": "r", "output": "o", "instruction": "i", "system": "s"}'),
+        (6, '{"messages": ["u"]}'), (7, '["prompt", "response"]'), (8, '{"prompt": "p"}'), (9, '{"prompt": null, "completion": "c"}'),
+        (10, '{"completion": "c", "prompt": "p", "messages": "none"}'), (11, '{"conversations": [], "id": 1}'),
+        (12, '{"messages": [{"content": "u"}]}'),
+    ]
+    df = spark.createDataFrame(records, "id bigint, record string").withColumns(
+        {c: F.lit("x") for c in ("_layout", "t", "turn", "layout", "conv_id")})
+    got = {}
+    for r in chat_format.json_turns(df, "id", "record").orderBy("conv_id", "turn").collect():
+        got.setdefault(r.conv_id, []).append((r.layout, r.turn, r.role, r.text, r.record))
+    pair = lambda layout, *turns: [(layout, n, *t, None) for n, t in enumerate(turns)]
+    assert got[1] == pair("prompt-response", ("user", "p"), ("assistant", "r"))
+    assert got[2] == pair("messages", ("user", "u"), ("assistant", "a"))
+    assert got[3] == [("no-messages", None, "", "", None)] and got[11] == [("no-conversations", None, "", "", None)]
+    assert got[4] == pair("system-instruction", ("system", "s"), ("user", "i"), ("assistant", "o"))
+    assert got[5] == pair("system-prompt-response", ("system", "s"), ("user", "p"), ("assistant", "r"))
+    assert got[9] == pair("prompt-completion", ("user", ""), ("assistant", "c"))
+    assert got[10] == pair("prompt-completion", ("user", "p"), ("assistant", "c"))
+    unknown = dict(records)
+    assert all(got[i] == [(None, None, "", "", unknown[i])] for i in (6, 7, 8))
+
+
+def test_conversations_as_records_format_like_the_table(spark):
+    """The given conversations, dealt over four record layouts by id, come out as the table path gives them."""
+    table = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    want = {}
+    for r in chat_format.table_turns(table).collect():
+        want.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
+    records = []
+    for conv, turns in want.items():
+        turns.sort()
+        roles = [role for _, role, _ in turns]
+        if roles == ["user", "assistant"] and conv % 2:
+            record = {"prompt": turns[0][2], "completion": turns[1][2], "source": "s"}
+        elif roles == ["system", "user", "assistant"]:
+            record = {"system": turns[0][2], "instruction": turns[1][2], "output": turns[2][2]}
+        elif conv % 3:
+            record = {"conversations": [{"from": role, "value": text, "n": n} for n, role, text in turns]}
+        else:
+            record = {"id": conv, "messages": [{"role": role, "content": text} for _, role, text in turns]}
+        records.append((conv, json.dumps(record)))
+    got = {}
+    for r in chat_format.json_turns(spark.createDataFrame(records, "id bigint, r string"), "id", "r").collect():
+        assert r.layout is not None
+        got.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
+    called = {"human": "user", "gpt": "assistant", "bot": "assistant"}
+    for conv, turns in want.items():
+        assert [(called.get(r, r), t) for _, r, t in sorted(got[conv])] == [(called.get(r, r), t) for _, r, t in turns]
+
+
+def test_a_table_with_names_of_two_layouts(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi", 9, "c")], "conv_id int, turn int, role string, text string, conversation_id int, content string")
+    assert [tuple(r) for r in chat_format.table_turns(df).collect()] == [(1, 0, "user", "hi")]
+    more = df.withColumn("position", F.lit(3))
+    assert [tuple(r) for r in chat_format.table_turns(more).collect()] == [(1, 0, "user", "hi")]
+
+
+@pytest.mark.parametrize("size", [60_000, 70_000])
+def test_equally_frequent_tokens_fill_the_lexicon(spark, size):
+    counts = spark.range(size).select(
+        (F.xxhash64("id")).alias("token"), (F.col("id") % 7).cast("int").alias("shape"),
+        F.when(F.col("id") < 100, F.col("id") + 50).otherwise(5).alias("n"))
+    got = hmm.frequent(counts).collect()
+    want = sorted(((-r.n, r.token) for r in counts.collect()))[:hmm.FREQUENT]
+    assert sorted((-r.n, r.token) for r in got) == want
+
+
+def test_smallest_keys(spark):
+    rows = [(-(1 << 63),), ((1 << 63) - 1,), (0,), (5,), (5,), (5,), (7,)]
+    df = spark.createDataFrame(rows, "k bigint")
+    assert hmm.smallest(df, F.col("k"), 7) is None
+    assert [hmm.smallest(df, F.col("k"), n) for n in (0, 1, 2, 3, 4, 5, 6)] == [
+        (-(1 << 63), 0), (0, 0), (5, 0), (5, 1), (5, 2), (7, 0), ((1 << 63) - 1, 0)]

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstrata.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
-from shopstrata.llm.scratch import Scratch, documents
+from shopstrata.llm.scratch import Scratch, documents, unused
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; the model is learned from ``labels``."""
     model = toxicity.learned_model(spark, docs, sf_dir, Scratch(spark, "pipeline-toxicity"))
-    made = "_toxicity"
+    (made,) = unused(docs, "_toxicity")
     return toxicity.score(docs, model, made=made).where(F.col(made) < toxicity.THRESHOLD).select(docs.columns)
 
 
@@ -27,8 +27,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dedup.drop_near_duplicates(docs, Scratch(spark, "pipeline-near"))
+    """One document of each group of near-duplicates: five words a shingle, similarity 0.8."""
+    return near_dedup.drop_near_duplicates(docs, Scratch(spark, "pipeline-near"), percent=80, width=5)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

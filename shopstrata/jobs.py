@@ -125,7 +125,7 @@ def fact_flow(lake: Lake, name: str, max_files: int = 1000) -> None:
 
 
 def daily_summary(lake: Lake) -> None:
-    summary.refresh_daily_summary(lake.gold_order_items().read(), lake.daily_summary())
+    summary.refresh_from_table(lake.gold_order_items(), lake.daily_summary())
     lake.daily_summary().vacuum()
 
 

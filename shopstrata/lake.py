@@ -66,9 +66,9 @@ class Lake:
         return self.keyed("silver", "order_shipments", schemas.SHIPMENT_KEYS, order_by=[*NEWEST_FILE, "order_dt"], keep="greatest")
 
     def gold_order_items(self) -> KeyedTable:
-        # Sorted by date inside each file: the summary's window then skips row groups.
+        # Laid out by date and order: the summary's window and a batch's keys both skip rows.
         return self.keyed(
-            "gold", "fact_order_items", schemas.GOLD_ORDER_ITEM_KEYS, sort_by=["transaction_date"]
+            "gold", "fact_order_items", schemas.GOLD_ORDER_ITEM_KEYS, cluster_by=["transaction_date", "transaction_id"]
         )
 
     def gold_order_returns(self) -> KeyedTable:

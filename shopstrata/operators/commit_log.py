@@ -52,14 +52,16 @@ class CommitLog:
         """Schema of the newest append, which later ones only ever add columns to."""
         return StructType.fromJson(self.note(self.numbers()[-1])["schema"])
 
-    def append(self, df: DataFrame, source: str = "batch", batch: int | None = None) -> int:
+    def append(
+        self, df: DataFrame, source: str = "batch", batch: int | None = None, options: dict[str, str] | None = None
+    ) -> int:
         if batch is not None:
             done = self.find(source, batch)
             if done is not None:
                 return done
         number = max(self.numbers(), default=-1) + 1
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(staged)
+        df.write.mode("overwrite").options(**(options or {})).parquet(staged)
         note = {"source": source, "batch": batch, "schema": json.loads(df.schema.json())}
         storage.write_text(self.spark, f"{staged}/{NOTE}", json.dumps(note))
         storage.publish(self.spark, staged, self.folder(number))

@@ -10,7 +10,9 @@ the rows it touches; the snapshot is rewritten once the commits after it have gr
 past a share of it, so the total written stays proportional to the data received.
 
 The snapshot is a Spark bucketed table: finding the old rows of a batch and folding
-commits into the snapshot shuffle the small side only, never the table.
+commits into the snapshot shuffle the small side only, never the table. Files carry Bloom
+filters on the key columns and short pages, so that a batch of few keys, or of keys from few
+ranges, reads few rows.
 """
 
 from __future__ import annotations
@@ -20,16 +22,18 @@ import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import AtomicType, DateType, IntegralType, NumericType, StructType, TimestampType
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
 from shopstrata.operators.commit_log import CommitLog
 from shopstrata.operators.latest import any_null, latest_per_key, precedence
 from shopstrata.operators.snapshots import with_columns_of
+from shopstrata.operators.zorder import z_order
 
 CHANGE, VERSION, STAMP = "_change_type", "_commit_version", "_commit_timestamp"
 FEED_COLUMNS = (CHANGE, VERSION, STAMP)
@@ -37,6 +41,11 @@ INSERT, BEFORE, AFTER = "insert", "update_preimage", "update_postimage"
 
 MAX_BUCKETS = 100_000  # Spark's own default ceiling
 HASH_BUILD_BYTES = 64 << 20  # most parquet bytes of a batch per bucket for a hash join
+FEW_KEYS = 200  # most values of a key column that are handed to the scan as a list
+RANGES = 64  # most ranges of the first key that are handed to the scan
+PAGE_ROWS = 1000  # most rows of a page, the least that a filter skips
+
+MATCH, LAYOUT = "_match", "_layout"  # stored in snapshots beside the columns of the table
 
 KEEP_RULES = ("incoming", "greatest", "existing")
 
@@ -54,10 +63,13 @@ class KeyedTable:
     ``incoming`` (a plain merge), ``greatest`` (the greater of both by ``order_by``,
     so the result does not depend on arrival order) or ``existing`` (first arrival
     stays). Rows with a null in their key match nothing and are all kept, unless
-    ``match_null_keys``. Several rows of one key in one batch are reduced to the
+    ``match_null_keys``: then nulls are equal, and rows are matched and bucketed by a text in
+    which a null key is written out. Several rows of one key in one batch are reduced to the
     greatest by ``order_by`` first. ``sort_by`` orders rows inside each bucket file,
-    so filters on those columns skip row groups. A snapshot is due when the commits
-    after the last one exceed both ``settle_bytes`` and ``settle_share`` of its size.
+    so filters on those columns skip row groups and pages; ``cluster_by`` orders them by the
+    interleaved bits of several columns instead, so filters on any of these skip. A snapshot
+    is due when the commits after the last one exceed both ``settle_bytes`` and
+    ``settle_share`` of its size.
     """
 
     def __init__(
@@ -69,6 +81,7 @@ class KeyedTable:
         keep: str = "incoming",
         match_null_keys: bool = False,
         sort_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
         bucket_bytes: int = 256 << 20,
         settle_share: float = 0.25,
         settle_bytes: int = 64 << 20,
@@ -82,6 +95,8 @@ class KeyedTable:
         self.keep = keep
         self.match_null_keys = match_null_keys
         self.sort_by = tuple(sort_by) or self.keys
+        self.cluster_by = tuple(cluster_by)
+        self.matched_by = (MATCH,) if match_null_keys else self.keys
         self.bucket_bytes = bucket_bytes
         self.settle_share = settle_share
         self.settle_bytes = settle_bytes
@@ -106,6 +121,37 @@ class KeyedTable:
         """All changes ever made, with their type, version and time."""
         return self.log.read()
 
+    def newest(self, column: str):
+        """The greatest value of a column among the current rows.
+
+        For dates and whole numbers the footers of all files give an upper bound: no rows are read
+        for it. It also covers images that were replaced later; so the rows that hold it are looked
+        for, and only if there are none the column is read.
+        """
+        rows = self.read()
+        plain = all(isinstance(f.dataType, AtomicType) for f in rows.schema)
+        if plain and isinstance(rows.schema[column].dataType, (DateType, IntegralType)):
+            bound = self.greatest_in_files(column).first()[0]
+            if bound is None or not rows.filter(named(column) == F.lit(bound)).isEmpty():
+                return bound
+        return rows.agg(F.max(named(column))).first()[0]
+
+    def greatest_in_files(self, column: str) -> DataFrame:
+        """A maximum that Spark takes from the statistics in the footers of all files of the table.
+
+        Spark finds the column by its place in the schema, so each folder is read with its own.
+        """
+        commits = self.log.numbers()
+        snapshot = self._snapshot(commits[-1])
+        paths = [self.log.folder(n) for n in self._after(snapshot, commits) if column in self._schema_at(n).names]
+        if snapshot and column in self._schema_at(snapshot.version).names:
+            paths += [p for p in (f"{snapshot.path}/rows", f"{snapshot.path}/keyless") if storage.exists(self.spark, p)]
+        session = self.spark.newSession()  # the settings concern this one plan
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        parts = [session.read.parquet(path).agg(F.max(named(column)).alias(column)) for path in paths]
+        return reduce(DataFrame.unionByName, parts).agg(F.max(named(column)).alias(column))
+
     def stream_changes(self, max_files: int | None = None) -> DataFrame:
         return self.log.stream(max_files)
 
@@ -132,7 +178,7 @@ class KeyedTable:
             df, self.keys, self.order_by, "group" if self.match_null_keys else "each"
         )
         if not commits:
-            return self.log.append(self._as_inserts(rows), source, batch)
+            return self.log.append(self._as_inserts(rows), source, batch, self._lookup_options())
 
         # The batch is used more than once below. Written out, it is computed once,
         # its size is known, and a lost executor costs a re-read, not a re-run.
@@ -141,7 +187,8 @@ class KeyedTable:
         incoming = with_columns_of(self.spark.read.schema(rows.schema).parquet(staged), self.schema())
         self._settle_if_due(commits)
         version = self.log.append(
-            self._compare(incoming, commits, storage.size_bytes(self.spark, staged)), source, batch
+            self._compare(incoming, commits, storage.size_bytes(self.spark, staged)),
+            source, batch, self._lookup_options(),
         )
         storage.remove(self.spark, staged)
         return version
@@ -149,17 +196,29 @@ class KeyedTable:
     def _as_inserts(self, rows: DataFrame) -> DataFrame:
         return rows.select("*", F.lit(INSERT).alias(CHANGE), F.current_timestamp().alias(STAMP))
 
+    def _lookup_options(self) -> dict[str, str]:
+        """Writer options that let scans pass over what a list or a range of keys can't be in."""
+        blooms = {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.keys}
+        return {
+            **blooms, "parquet.bloom.filter.adaptive.enabled": "true", "parquet.page.row.count.limit": str(PAGE_ROWS)}
+
+    def _with_match(self, rows: DataFrame) -> DataFrame:
+        """Rows plus what they are matched by: themselves, or the text of a key that may hold nulls."""
+        if not self.match_null_keys:
+            return rows
+        written = F.to_json(F.struct(*map(named, self.keys)), {"ignoreNullFields": "false"})
+        return rows.withColumn(MATCH, written)
+
     def _compare(self, incoming: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
         """The changes that merging ``incoming`` makes."""
         columns = incoming.columns
-        keyed = incoming if self.match_null_keys else incoming.filter(~any_null(self.keys))
-        old = self._old_rows(keyed.select(*map(named, self.keys)), commits, batch_bytes)
-        old = with_columns_of(old, incoming.schema)
-
-        pairs = self._join(
-            keyed.select(*map(named, self.keys), F.struct(*map(named, columns)).alias("new")),
-            old.select(*map(named, self.keys), F.struct(*map(named, columns)).alias("old")),
-            "left",
+        keyed = self._with_match(incoming if self.match_null_keys else incoming.filter(~any_null(self.keys)))
+        old = self._old_rows(keyed.select(*map(named, {*self.keys, *self.matched_by})), commits, batch_bytes)
+        old = self._with_match(with_columns_of(old, incoming.schema))
+
+        pairs = keyed.select(*map(named, self.matched_by), F.struct(*map(named, columns)).alias("new")).join(
+            old.select(*map(named, self.matched_by), F.struct(*map(named, columns)).alias("old")),
+            list(self.matched_by), "left",
         )
         if self.keep == "existing":
             pairs = pairs.filter(F.col("old").isNull())
@@ -188,46 +247,58 @@ class KeyedTable:
     def _old_rows(self, wanted: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
         """Current rows of the wanted keys: the newest of snapshot and later commits.
 
-        Both are read within the staged batch's range of the first key only, so the scans
-        skip row groups outside.
+        Both are read where the staged batch's keys can be only: scans skip row groups and pages.
         """
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
+        near = self._near(wanted)
+        side, by = wanted.select(*map(named, self.matched_by)), list(self.matched_by)
         found = []
-        near = lambda rows: rows
-        if not self.match_null_keys:
-            first = named(self.keys[0])
-            low, high = wanted.agg(F.min(first), F.max(first)).first()
-            near = lambda rows: rows.filter((first >= F.lit(low)) & (first <= F.lit(high)))
         if snapshot:
-            side = wanted
-            if batch_bytes / snapshot.buckets <= HASH_BUILD_BYTES and not self.match_null_keys:
-                side = wanted.hint("shuffle_hash")  # streams the table: no shuffle and no sort of it
+            held = self._bucketed(snapshot).filter(near)
+            # hinted, the join streams the table: no shuffle and no sort of it
+            small = side.hint("shuffle_hash") if batch_bytes / snapshot.buckets <= HASH_BUILD_BYTES else side
             found.append(
-                self._join(near(self._bucketed(snapshot)), side, "left_semi")
+                held.join(small, by, "left_semi").select(*map(named, self.schema().names))
                 .withColumn(VERSION, F.lit(snapshot.version).cast("long"))
             )
         if later:
-            found.append(self._join(near(self._images(later)), wanted, "left_semi"))
+            images = self._with_match(self._images(later).filter(near))
+            found.append(images.join(side, by, "left_semi").select(*map(named, self.schema().names), VERSION))
         if len(found) == 1 and len(later) <= 1:
             return found[0].drop(VERSION)
         old = found[0] if len(found) == 1 else found[0].unionByName(found[1])
         return latest_per_key(old, self.keys, [VERSION]).drop(VERSION)
 
-    def _join(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        if not self.match_null_keys:
-            return left.join(right, list(self.keys), how)
-        renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in self.keys})
-        match = [named(k).eqNullSafe(named(f"_right_{k}")) for k in self.keys]
-        joined = left.join(renamed, match, how)
-        return joined.drop(*[f"_right_{k}" for k in self.keys])
+    def _near(self, wanted: DataFrame) -> Column:
+        """What holds for all rows with the wanted keys, in terms that a parquet scan understands.
+
+        A key column with few values becomes a list, which Bloom filters and page statistics are
+        asked for; else the first key becomes ranges around the values there are.
+        """
+        counts = wanted.agg(*[F.approx_count_distinct(named(k)).alias(k) for k in self.keys]).first()
+        holds = F.lit(True)
+        for key in self.keys:
+            if counts[key] > 2 * FEW_KEYS:
+                continue
+            values = [row[0] for row in wanted.select(named(key)).distinct().limit(FEW_KEYS + 1).collect()]
+            if len(values) <= FEW_KEYS:
+                given = named(key).isin([v for v in values if v is not None])
+                holds &= given | named(key).isNull() if None in values else given
+        first = self.keys[0]
+        if counts[first] > FEW_KEYS:
+            ranges = key_ranges(wanted.select(named(first)))
+            inside = [named(first).between(F.lit(low), F.lit(high)) for low, high in ranges]
+            inside += [named(first).isNull()] if self.match_null_keys else []
+            holds &= reduce(lambda one, two: one | two, inside)
+        return holds
 
     # ---- snapshots ---------------------------------------------------------
 
     def snapshots(self) -> list[Snapshot]:
         found = []
         for name in storage.child_names(self.spark, f"{self.path}/snapshots"):
-            match = re.fullmatch(r"v=(\d+)-b(\d+)", name)
+            match = re.fullmatch(r"v=(\d+)-b(\d+)" + ("-m" if self.match_null_keys else ""), name)
             if match:
                 version, buckets = map(int, match.groups())
                 found.append(Snapshot(version, buckets, f"{self.path}/snapshots/{name}"))
@@ -271,8 +342,9 @@ class KeyedTable:
         if snapshot:
             kept = self._bucketed(snapshot)
             if later:
-                kept = self._join(kept, self._images(later).select(*map(named, self.keys)), "left_anti")
-            parts.append(kept)
+                replaced = self._with_match(self._images(later)).select(*map(named, self.matched_by))
+                kept = kept.join(replaced, list(self.matched_by), "left_anti")
+            parts.append(kept.select(*map(named, self.schema().names)))
         if later:
             parts.append(self._newest_images(later))
         lone = self._unmatchable(snapshot, later) if keyless else None
@@ -304,32 +376,38 @@ class KeyedTable:
             return
         newest = commits[-1]
         buckets = self._bucket_count(sum(self._bytes(snapshot, later)))
-        if snapshot and snapshot.buckets == buckets and not self.match_null_keys:
+        if snapshot and snapshot.buckets == buckets:
             rows = self._folded(snapshot, later)
         else:
-            rows = self._rows_as_of(newest, keyless=False).repartition(buckets, *map(named, self.keys))
+            rows = self._with_match(self._rows_as_of(newest, keyless=False)).repartition(
+                buckets, *map(named, self.matched_by))
+        if self.cluster_by:
+            given = [self._images(later)] + ([self._bucketed(snapshot)] if snapshot else [])
+            rows = rows.withColumn(LAYOUT, z_order(given, self.cluster_by))
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         name = f"shopstrata_staging_{uuid.uuid4().hex}"
         (
-            rows.write.format("parquet").bucketBy(buckets, *self.keys).sortBy(*self.sort_by)
+            rows.write.format("parquet").options(**self._lookup_options())
+            .bucketBy(buckets, *self.matched_by).sortBy(*([LAYOUT] if self.cluster_by else self.sort_by))
             .option("path", f"{staged}/rows").saveAsTable(name)
         )
         self.spark.sql(f"DROP TABLE {name}")  # the name only: the files are external
         lone = self._unmatchable(snapshot, later)
         if lone is not None:
             lone.write.parquet(f"{staged}/keyless")
-        storage.publish(self.spark, staged, f"{self.path}/snapshots/v={newest}-b{buckets}")
+        kind = "-m" if self.match_null_keys else ""
+        storage.publish(self.spark, staged, f"{self.path}/snapshots/v={newest}-b{buckets}{kind}")
 
     def _folded(self, snapshot: Snapshot, later: list[int]) -> DataFrame:
         """Snapshot and later commits, joined bucket by bucket without moving the snapshot."""
-        columns = [f.name for f in self.schema()]
-        values = [c for c in columns if c not in self.keys]
-        new = self._newest_images(later).select(
-            *map(named, self.keys), F.struct(F.lit(1).alias("_new"), *map(named, values)).alias("_n")
+        columns = [*self.schema().names, *({*self.matched_by} - {*self.keys})]
+        values = [c for c in columns if c not in self.matched_by]
+        new = self._with_match(self._newest_images(later)).select(
+            *map(named, self.matched_by), F.struct(F.lit(1).alias("_new"), *map(named, values)).alias("_n")
         )
-        both = self._bucketed(snapshot).join(new, list(self.keys), "full_outer")
+        both = self._bucketed(snapshot).join(new, list(self.matched_by), "full_outer")
         return both.select(*[
-            named(c) if c in self.keys
+            named(c) if c in self.matched_by
             else F.when(F.col("_n").isNotNull(), F.col("_n").getField(c)).otherwise(named(c)).alias(c)
             for c in columns
         ])
@@ -341,16 +419,16 @@ class KeyedTable:
         return min(MAX_BUCKETS, 1 << (wanted - 1).bit_length())
 
     def _bucketed(self, snapshot: Snapshot) -> DataFrame:
-        """The snapshot's rows as a bucketed table; columns added later are null.
+        """The snapshot's rows, and what they are matched by, as a bucketed table; columns added later are null.
 
         Spark takes bucketing from the catalog only, hence the external table.
         """
         name = self._catalog_name(snapshot)
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(
-                f"`{f.name}` {f.dataType.simpleString()}" for f in self._schema_at(snapshot.version)
-            )
-            keys = ", ".join(f"`{k}`" for k in self.keys)
+            held = self._schema_at(snapshot.version)
+            held = held.add(MATCH, "string") if self.match_null_keys else held
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
+            keys = ", ".join(f"`{k}`" for k in self.matched_by)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
                 f"CLUSTERED BY ({keys}) INTO {snapshot.buckets} BUCKETS "
@@ -378,6 +456,26 @@ class KeyedTable:
             storage.remove(self.spark, snapshot.path)
 
 
+def key_ranges(keys: DataFrame) -> list[tuple]:
+    """At most ``RANGES`` ranges that hold all values of the one column.
+
+    Quantiles cut the values into parts, and the least and greatest value of each part is taken.
+    One range is returned where the parts leave little out, or where there are no quantiles.
+    """
+    field = keys.schema[0]
+    value = named(field.name)
+    whole = keys.agg(F.min(value), F.max(value)).first()
+    if not isinstance(field.dataType, (NumericType, DateType, TimestampType)):
+        return [tuple(whole)]
+    shares = [n / RANGES for n in range(1, RANGES)]
+    cuts = sorted(set(keys.agg(F.percentile_approx(value, shares, 1000)).first()[0]))
+    part = reduce(lambda one, two: one + two, [(value > F.lit(cut)).cast("int") for cut in cuts])
+    found = keys.filter(value.isNotNull()).groupBy(part.alias("part")).agg(F.min(value), F.max(value)).collect()
+    ranges = sorted((low, high) for _, low, high in found)
+    covered, reach = sum(((high - low) for low, high in ranges), whole[0] - whole[0]), whole[1] - whole[0]
+    return ranges if covered * 2 < reach else [tuple(whole)]
+
+
 def feed_images(feed: DataFrame) -> DataFrame:
     """Rows as they are after each change, batch or stream: inserts and new images."""
     return feed.filter(F.col(CHANGE).isin(INSERT, AFTER))

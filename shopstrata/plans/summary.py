@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,19 +24,31 @@ def daily_summary(gold_order_items: DataFrame) -> DataFrame:
     )
 
 
-def recent(gold_order_items: DataFrame, days: int = SUMMARY_WINDOW_DAYS) -> DataFrame:
+def recent(
+    gold_order_items: DataFrame, days: int = SUMMARY_WINDOW_DAYS, newest: dt.date | None = None
+) -> DataFrame:
     """Rows dated at most ``days`` before the newest date, both ends included.
 
-    The bound is a scalar subquery: Spark runs it first and hands the value to the
-    parquet scan, so files and row groups outside the window are skipped.
+    A ``newest`` date that is known already saves a pass over the dates. Else the bound is a
+    scalar subquery: Spark runs it first and hands the value to the parquet scan. Either way
+    files, row groups and pages outside the window are skipped.
     """
-    start = gold_order_items.agg(F.date_sub(F.max("transaction_date"), days)).scalar()
+    if newest is not None:
+        start = F.lit(newest - dt.timedelta(days=days))
+    else:
+        start = gold_order_items.agg(F.date_sub(F.max("transaction_date"), days)).scalar()
     return gold_order_items.filter(F.col("transaction_date") >= start)
 
 
 def refresh_daily_summary(
-    gold_order_items: DataFrame, table: KeyedTable, days: int = SUMMARY_WINDOW_DAYS
+    gold_order_items: DataFrame, table: KeyedTable, days: int = SUMMARY_WINDOW_DAYS, newest: dt.date | None = None
 ) -> int:
     """Create the summary, or restate its last days; older dates keep their values."""
-    source = recent(gold_order_items, days) if table.exists() else gold_order_items
+    source = recent(gold_order_items, days, newest) if table.exists() else gold_order_items
     return table.upsert(daily_summary(source), one_row_per_key=True)
+
+
+def refresh_from_table(gold_order_items: KeyedTable, table: KeyedTable, days: int = SUMMARY_WINDOW_DAYS) -> int:
+    """The same from the stored table, whose newest date is found without reading rows."""
+    newest = gold_order_items.newest("transaction_date") if table.exists() else None
+    return refresh_daily_summary(gold_order_items.read(), table, days, newest)

@@ -17,6 +17,8 @@ SETTINGS = {
     # A hot order may sit on one side of a join that feeds an aggregate on the
     # same key; splitting it is worth the extra exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lists of keys up to this length reach the parquet scan as they are, not as one range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
     # Deduplication state of a stream outgrows the heap; keep it on local disk
     # with its changelog in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":

@@ -11,9 +11,6 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MILLIONTH = Decimal("0.000001")
-
-
 def named(name: str) -> Column:
     """The column of exactly this name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -93,16 +90,33 @@ def year_label(prefix: str, part: Column, year: Column) -> Column:
 
 
 def exact_total(amount: Column) -> Column:
-    """Sum of a double column that does not depend on row order or partitioning.
+    """Sum of a double column, rounded once, that does not depend on row order or partitioning.
 
-    Whole units and millionths are summed as integers, which the engine adds in
-    registers; a sum of decimals would be exact too, at several times the cost.
-    Amounts count to six decimals. NaN, infinite values and amounts beyond the range of
-    a long are added as doubles.
+    An amount is cut, without rounding, into whole numbers of 2**43, 1, 2**-20, 2**-40 and
+    2**-60. Sums of these fit long integers, which the engine adds in registers, for more rows
+    than there are; put together as one decimal they make the exact total. NaN, infinite and
+    astronomical amounts (from 2**103 on) and what lies below 2**-60 are added as doubles. Totals beyond
+    38 digits are put together as doubles.
     """
-    units = amount.try_cast("bigint")
-    millionths = F.rint((amount - units) * 1_000_000).try_cast("bigint")
-    total = F.sum(units).cast("decimal(25,6)") + F.sum(millionths).cast("decimal(19,0)") * MILLIONTH
-    exact = total.cast("double")
-    others = F.sum(F.when(units.isNull(), amount))
-    return F.when(others.isNull(), exact).otherwise(others + F.coalesce(exact, F.lit(0.0)))
+    finite = F.abs(amount) < F.lit(2.0**103)
+    large = (amount * F.lit(2.0**-43)).try_cast("bigint")
+    rest = amount - large * F.lit(2.0**43)
+    units = rest.try_cast("bigint")
+    parts, rest = [], rest - units
+    for _ in range(3):
+        scaled = rest * F.lit(2.0**20)
+        part = scaled.try_cast("bigint")
+        parts.append(part)
+        rest = scaled - part
+    sums = [F.try_sum(F.when(finite, x)) for x in (large, units)] + [F.sum(F.when(finite, x)) for x in parts]
+    scales = [103, 60, 40, 20, 0]
+    whole = F.lit(Decimal(0)).cast("decimal(38,0)")
+    for total, scale in zip(sums, scales):
+        part = F.try_multiply(total.cast("decimal(38,0)"), F.lit(Decimal(1 << scale)).cast("decimal(38,0)"))
+        whole = F.try_add(whole, F.when(total == 0, F.lit(Decimal(0)).cast("decimal(38,0)")).otherwise(part))
+    in_digits = whole.cast("double") * F.lit(2.0**-60)
+    in_doubles = sum((total * F.lit(2.0**(scale - 60)) for total, scale in zip(reversed(sums), reversed(scales))), F.lit(0.0))
+    plain = F.sum(F.when(finite, F.lit(None).cast("double")).otherwise(amount))
+    small = F.sum(F.when(finite, rest)) * F.lit(2.0**-60)
+    exact = F.coalesce(in_digits, in_doubles, F.sum(F.when(finite, amount))) + F.coalesce(small, F.lit(0.0))
+    return F.when(plain.isNull(), exact).otherwise(plain + F.coalesce(exact, F.lit(0.0)))

@@ -146,6 +146,7 @@ def main(arguments: list[str] | None = None) -> None:
     for job in JOBS if "all" in options.jobs else options.jobs:
         more = {"max_files": options.max_files} if job in FACTS else {}
         JOBS[job](lake, **more)
+    lake.register_all()
 
 
 if __name__ == "__main__":

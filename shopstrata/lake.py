@@ -94,14 +94,14 @@ class Lake:
         """Give current rows a name for SQL in this session, such as ``gld_dim_products``."""
         rows.createOrReplaceTempView(f"{PREFIX[layer]}{name}")
 
-    def publish_all(self) -> list[str]:
-        """Name the current rows of every table there is; returns the names."""
-        tables: dict[tuple[str, str], SnapshotTable | KeyedTable | CommitLog] = {
+    def tables(self) -> dict[tuple[str, str], SnapshotTable | KeyedTable | CommitLog]:
+        """Every table there is, by layer and name."""
+        named: dict[tuple[str, str], SnapshotTable | KeyedTable | CommitLog] = {
             (layer, name): self.snapshot(layer, name)
             for layer, names in DIMENSION_TABLES.items() for name in names
         }
-        tables |= {("bronze", name): self.bronze_facts(name) for name in FACT_NAMES}
-        tables |= {
+        named |= {("bronze", name): self.bronze_facts(name) for name in FACT_NAMES}
+        named |= {
             ("silver", "order_items"): self.silver_order_items(),
             ("silver", "order_returns"): self.silver_order_returns(),
             ("silver", "order_shipments"): self.silver_order_shipments(),
@@ -110,9 +110,22 @@ class Lake:
             ("gold", "order_shipments"): self.gold_order_shipments(),
             ("gold", "fact_daily_orders_summary"): self.daily_summary(),
         }
-        published = []
-        for (layer, name), table in tables.items():
-            if table.numbers() if isinstance(table, CommitLog) else table.exists():
-                self.publish(layer, name, table.read())
-                published.append(f"{PREFIX[layer]}{name}")
-        return published
+        return {
+            at: table for at, table in named.items()
+            if (table.numbers() if isinstance(table, CommitLog) else table.exists())
+        }
+
+    def publish_all(self) -> list[str]:
+        """Name the current rows of every table there is, for this session; returns the names."""
+        for (layer, name), table in self.tables().items():
+            self.publish(layer, name, table.read())
+        return [f"{PREFIX[layer]}{name}" for layer, name in self.tables()]
+
+    def register_all(self) -> list[str]:
+        """Name every table there is in the schema of its layer, for all sessions of the catalog.
+
+        ``gold.gld_fact_order_items`` and the others then read what was committed when this was
+        last called; jobs call it when they are done.
+        """
+        self.create_namespaces()
+        return [table.register(layer, f"{PREFIX[layer]}{name}") for (layer, name), table in self.tables().items()]

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructType
 
 from shopstrata import storage
+from shopstrata.operators.names import NamedView
 
 NOTE = "_commit.json"
 
@@ -70,7 +71,7 @@ class CommitLog:
     def read(self, numbers: list[int] | None = None) -> DataFrame:
         """Rows of the given appends (all by default) plus the append number."""
         wanted = self.numbers() if numbers is None else numbers
-        schema = self._numbered(self.schema())
+        schema = self.numbered_schema()
         if not wanted:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", self.path)
@@ -78,10 +79,15 @@ class CommitLog:
 
     def stream(self, max_files: int | None = None) -> DataFrame:
         # by default files a week older than the newest would be passed over
-        reader = self.spark.readStream.schema(self._numbered(self.schema())).option("maxFileAge", "36500d")
+        reader = self.spark.readStream.schema(self.numbered_schema()).option("maxFileAge", "36500d")
         if max_files:
             reader = reader.option("maxFilesPerTrigger", max_files)
         return reader.parquet(self.path)
 
-    def _numbered(self, schema: StructType) -> StructType:
-        return StructType(schema.fields).add(self.column, LongType())
+    def numbered_schema(self) -> StructType:
+        return StructType(self.schema().fields).add(self.column, LongType())
+
+    def register(self, schema: str, name: str) -> str:
+        """Give the rows of all appends so far a lasting name in the catalog."""
+        view = NamedView(self.spark, schema, name)
+        return view.replace(f"SELECT * FROM {view.external(self.path, self.numbered_schema(), self.column)}")

@@ -32,6 +32,7 @@ from shopstrata import storage
 from shopstrata.functions.columns import named
 from shopstrata.operators.commit_log import CommitLog
 from shopstrata.operators.latest import any_null, latest_per_key, precedence
+from shopstrata.operators.names import NamedView, columns_sql, quoted
 from shopstrata.operators.snapshots import with_columns_of
 from shopstrata.operators.zorder import z_order
 
@@ -293,6 +294,38 @@ class KeyedTable:
             holds &= reduce(lambda one, two: one | two, inside)
         return holds
 
+    def register(self, schema: str, name: str) -> str:
+        """Give the current rows a lasting name in the catalog: a view over snapshot and later commits.
+
+        To be called again when there are new commits; the files it reads are kept by ``vacuum``
+        until the snapshot after the next.
+        """
+        view = NamedView(self.spark, schema, name)
+        commits, columns = self.log.numbers(), self.schema().names
+        snapshot = self._snapshot(commits[-1])
+        held = ", ".join(map(quoted, columns))
+        keys = ", ".join(map(quoted, self.keys))
+        feed = view.external(self.log.path, self.log.numbered_schema(), VERSION)
+        images = (f"SELECT * FROM {feed} WHERE {VERSION} > {snapshot.version if snapshot else -1} "
+                  f"AND {CHANGE} IN ('{INSERT}', '{AFTER}')")
+        lone = " OR ".join(f"{quoted(k)} IS NULL" for k in self.keys)
+        matched = images if self.match_null_keys else f"{images} AND NOT ({lone})"
+        rest = ", ".join(quoted(c) if c in self.keys else f"top.{quoted(c)}" for c in columns)
+        parts = [f"SELECT {rest} FROM (SELECT {keys}, max_by(struct({held}), {VERSION}) AS top FROM ({matched}) GROUP BY {keys})"]
+        if not self.match_null_keys:
+            parts.append(f"SELECT {held} FROM ({images}) WHERE {lone}")
+        if snapshot:
+            then = self._schema_at(snapshot.version)
+            filled = ", ".join(
+                quoted(f.name) if f.name in then.names else f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}"
+                for f in self.schema())
+            rows = view.external(f"{snapshot.path}/rows", then)
+            same = " AND ".join(f"r.{quoted(k)} {'<=>' if self.match_null_keys else '='} i.{quoted(k)}" for k in self.keys)
+            parts.append(f"SELECT {filled} FROM {rows} r LEFT ANTI JOIN ({matched}) i ON {same}")
+            if not self.match_null_keys:
+                parts.append(f"SELECT {filled} FROM {view.external(f'{snapshot.path}/keyless', then)}")
+        return view.replace(" UNION ALL ".join(parts))
+
     # ---- snapshots ---------------------------------------------------------
 
     def snapshots(self) -> list[Snapshot]:
@@ -427,8 +460,7 @@ class KeyedTable:
         if not self.spark.catalog.tableExists(name):
             held = self._schema_at(snapshot.version)
             held = held.add(MATCH, "string") if self.match_null_keys else held
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
-            keys = ", ".join(f"`{k}`" for k in self.matched_by)
+            columns, keys = columns_sql(held), ", ".join(map(quoted, self.matched_by))
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
                 f"CLUSTERED BY ({keys}) INTO {snapshot.buckets} BUCKETS "

@@ -11,6 +11,7 @@ from pyspark.sql.types import MapType, StructType
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
+from shopstrata.operators.names import NamedView
 
 
 def with_columns_of(df: DataFrame, schema: StructType) -> DataFrame:
@@ -50,6 +51,11 @@ class SnapshotTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.location())
 
+    def register(self, schema: str, name: str) -> str:
+        """Give the newest version a lasting name in the catalog; to be called again after a write."""
+        view = NamedView(self.spark, schema, name)
+        return view.replace(f"SELECT * FROM {view.external(self.location(), self.read().schema)}")
+
     def overwrite(
         self,
         df: DataFrame,

@@ -27,6 +27,13 @@ _COUNTRIES = [
 _STATES = ["MH", "VIC", "ENG", "CA", "DU", "SG", "ON", "WA", "ZZ"]
 _BRAND_NUMBER = "CAST(regexp_replace(p_brand, '[^0-9]', '', 'g') AS INTEGER)"
 
+
+
+def _total(amount: str) -> str:
+    """The exact sum of doubles, in units of 2**-60, rounded once at the end."""
+    return f"CAST(CAST(sum(CAST(trunc({amount} * pow(2::DOUBLE, 60)) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2::DOUBLE, 60)"
+
+
 RAW = {
     "raw_order_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS item_seq, CAST(l_shipdate AS DATE) AS dt,
@@ -128,12 +135,12 @@ CLEAN = {
                ceil(gross) * (discount_pct / 100) AS discount_amount, tax_amount,
                gross - ceil(gross) * (discount_pct / 100) + tax_amount AS net_amount
         FROM (SELECT *, quantity * unit_price AS gross FROM items)""",
-    "summary": """
+    "summary": f"""
         SELECT date_id, unit_price_currency AS currency, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-               CAST(sum(CAST(gross_amount AS DECIMAL(28,6))) AS DOUBLE) AS total_gross_amount,
-               CAST(sum(CAST(discount_amount AS DECIMAL(28,6))) AS DOUBLE) AS total_discount_amount,
-               CAST(sum(CAST(tax_amount AS DECIMAL(28,6))) AS DOUBLE) AS total_tax_amount,
-               CAST(sum(CAST(net_amount AS DECIMAL(28,6))) AS DOUBLE) AS total_amount
+               {_total("gross_amount")} AS total_gross_amount,
+               {_total("discount_amount")} AS total_discount_amount,
+               {_total("tax_amount")} AS total_tax_amount,
+               {_total("net_amount")} AS total_amount
         FROM sold GROUP BY 1, 2""",
     "returns_all": """
         SELECT order_id, CAST(order_dt AS DATE) AS order_dt, CAST(return_ts AS TIMESTAMP) AS return_ts,

@@ -43,6 +43,7 @@ def test_a_hot_order_is_split_in_the_join(spark, hot):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",  # small tables would not be joined by shuffles
     }
     before = {key: spark.conf.get(key) for key in small}
     # Splitting goes by map output, so the hot rows must come from several map tasks.

@@ -99,7 +99,10 @@ def test_totals_hold_all_numbers(spark):
     assert total(5.0, 1e19) == pytest.approx(1e19)
     assert math.isnan(total(5.0, float("nan")))
     assert total(1.0, float("inf")) == float("inf")
-    assert total(0.1, 0.2, None) == 0.3
+    assert total(0.1, 0.2, None) == 0.1 + 0.2
+    assert total(5e18, 5e18) == 1e19 and total(*[9e18] * 30) == 2.7e20 and total(1e30, 1.0, -1e30) == 1.0
+    assert total(*[1e-7] * 1000) == math.fsum([1e-7] * 1000) and total(1e-30, 2e-30) == pytest.approx(3e-30)
+    assert total(float("inf"), 1e300, 2.0) == float("inf") and math.isnan(total(float("inf"), float("-inf")))
     assert total(None) is None
 
 

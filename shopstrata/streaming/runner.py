@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopstrata import storage
 
+SHARES = 32  # tasks that the rows of one key go to at first
 ANY_AGE = "36500d"  # file streams pass over files older than a week by default
 
 
@@ -82,10 +82,11 @@ def dedup_stream(
     """First arrival per key, remembered in the checkpoint across runs.
 
     Without an event time every key is remembered for ever. With one, a key is
-    forgotten ``delay`` after it was seen, which bounds the state. Without an event
-    time ``thin`` drops repeats inside each input task first, so that the rows of a very
-    frequent key are few by the time they meet in one task. With one it could drop the
-    timely row of a key in favour of a late one, so nothing is dropped beforehand.
+    forgotten ``delay`` after it was seen, which bounds the state; rows that come more than that
+    after the newest time of earlier batches are dropped. Without an event time ``thin``
+    drops repeats within shares of the input first, so that the rows of a very frequent key are
+    few by the time they meet in one task. With one it could drop the timely row of a
+    key in favour of a late one, so nothing is dropped beforehand.
 
     The fact tables need none of this: there the table itself is the memory.
     """
@@ -96,19 +97,15 @@ def dedup_stream(
     return stream.dropDuplicates(list(keys))
 
 
-def without_near_repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The first row of each key in every Arrow batch: a map-side combine.
+def without_near_repeats(df: DataFrame, keys: Sequence[str], shares: int = SHARES) -> DataFrame:
+    """The first row of each key in each of ``shares`` shares of the input's partitions.
 
-    Spark's streaming deduplication shuffles every row, and no built-in operator may
-    reduce a stream before it without keeping state of its own.
+    Spark's deduplication sends all rows of a key to one task. Here the share is a part of the key,
+    so a frequent key goes to as many tasks, and ``shares`` rows of it are left. In a stream
+    the state of this step holds a key once for each share that it came in.
     """
-    names = list(keys)
-
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key_table = pa.table({n: batch.column(n) for n in names})
-            numbered = key_table.append_column("_row", pa.array(np.arange(batch.num_rows)))
-            first = numbered.group_by(names).aggregate([("_row", "min")]).column("_row_min")
-            yield batch.take(first.combine_chunks().sort())
-
-    return df.mapInArrow(combine, df.schema)
+    share = "_share"
+    while share in df.columns:
+        share += "_"
+    parted = df.withColumn(share, F.spark_partition_id() % F.lit(shares))
+    return parted.dropDuplicates([*keys, share]).drop(share)

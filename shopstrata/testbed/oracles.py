@@ -34,6 +34,12 @@ def _total(amount: str) -> str:
     return f"CAST(CAST(sum(CAST(trunc({amount} * pow(2::DOUBLE, 60)) AS HUGEINT)) AS VARCHAR) AS DOUBLE) / pow(2::DOUBLE, 60)"
 
 
+def _totals(currency: str) -> str:
+    sums = ", ".join(f"{_total(f'{a}_amount')} AS total_{b}" for a, b in (
+        ("gross", "gross_amount"), ("discount", "discount_amount"), ("tax", "tax_amount"), ("net", "amount")))
+    return f"date_id, {currency} AS currency, CAST(sum(quantity) AS BIGINT) AS total_quantity, {sums}"
+
+
 RAW = {
     "raw_order_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS item_seq, CAST(l_shipdate AS DATE) AS dt,
@@ -136,11 +142,7 @@ CLEAN = {
                gross - ceil(gross) * (discount_pct / 100) + tax_amount AS net_amount
         FROM (SELECT *, quantity * unit_price AS gross FROM items)""",
     "summary": f"""
-        SELECT date_id, unit_price_currency AS currency, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-               {_total("gross_amount")} AS total_gross_amount,
-               {_total("discount_amount")} AS total_discount_amount,
-               {_total("tax_amount")} AS total_tax_amount,
-               {_total("net_amount")} AS total_amount
+        SELECT {_totals("unit_price_currency")}
         FROM sold GROUP BY 1, 2""",
     "returns_all": """
         SELECT order_id, CAST(order_dt AS DATE) AS order_dt, CAST(return_ts AS TIMESTAMP) AS return_ts,
@@ -205,6 +207,9 @@ def with_raw(query: str) -> str:
                 needed.append(name)
 
     visit(query)
+    if query.lstrip().startswith("WITH "):
+        query = query.lstrip().removeprefix("WITH ")
+        return "WITH " + ",\n".join([*(f"{name} AS ({RELATIONS[name]})" for name in needed), query])
     ctes = ",\n".join(f"{name} AS ({RELATIONS[name]})" for name in needed)
     return f"WITH {ctes}\n{query}" if ctes else query
 
@@ -235,7 +240,8 @@ _QUERIES = {
     "schema_infer_persist": """
         SELECT order_id, shipment_id, CAST(order_dt AS DATE) AS order_dt, carrier FROM raw_shipments""",
     "rescued_data": """
-        SELECT order_id, item_seq, dt, TRY_CAST(quantity AS INTEGER) AS quantity,
+        SELECT order_id, item_seq, dt, CAST(order_ts AS DATE) AS order_ts, customer_id, product_id, coupon_code,
+               unit_price_currency, TRY_CAST(quantity AS INTEGER) AS quantity, unit_price, discount_pct, tax_amount,
                CASE WHEN dt < DATE '1999-01-01' THEN
                         CASE WHEN TRY_CAST(quantity AS INTEGER) IS NULL
                              THEN '{"quantity":"' || quantity || '"}' END
@@ -245,11 +251,18 @@ _QUERIES = {
         FROM raw_order_items""",
     "stream_ingest_append": "SELECT * FROM raw_order_items",
     "stream_resume": """
-        SELECT event_id, user_id, event_type, value, props,
+        SELECT event_id, ts, user_id, event_type, value, props,
                CAST(CASE WHEN ts < middle THEN 0 ELSE 1 END AS BIGINT) AS ingest_batch
         FROM events, (SELECT min(ts) + to_seconds(datesub('second', min(ts), max(ts)) // 2) AS middle FROM events)""",
-    "stream_table_scan": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
-    "stream_dedup": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "stream_table_scan": "SELECT * FROM lineitem",
+    "stream_dedup": "SELECT DISTINCT * FROM lineitem",
+    "stream_dedup_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "stream_dedup_bounded": """
+        SELECT * FROM events UNION ALL
+        SELECT -1 - event_id, * EXCLUDE (event_id) FROM events
+        WHERE ts > (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAYS FROM events)""",
+    "silver_clean_then_dirty": "SELECT * FROM items",
+    "silver_batch_cuts": "SELECT *, unnest(['one', 'several']) AS cut FROM items",
     "stream_first_arrival": _LATER_WINS.format(extra="", direction="DESC"),
     "stream_upsert_latest": "SELECT * FROM shipments",
     "upsert_unconditional": _LATER_WINS.format(extra="", direction="DESC"),
@@ -324,6 +337,18 @@ _QUERIES = {
     "daily_summary_full": _SUMMARY,
     "daily_summary_clustered": _SUMMARY,
     "daily_summary_incremental": _SUMMARY,
+    "daily_summary_restated": f"""
+        WITH first AS (
+            SELECT * REPLACE (CASE WHEN product_id % 13 <> 0 THEN unit_price_currency END AS unit_price_currency) FROM sold),
+        second AS (
+            SELECT * REPLACE (CASE WHEN transaction_id % 5 = 0 THEN quantity + 3 ELSE quantity END AS quantity,
+                              CASE WHEN transaction_id % 5 = 0 THEN tax_amount + 0.25 ELSE tax_amount END AS tax_amount)
+            FROM first),
+        start AS (SELECT max(transaction_date) - INTERVAL 30 DAYS AS d FROM first),
+        used AS (
+            SELECT first.* FROM first, start WHERE transaction_date < d
+            UNION ALL SELECT second.* FROM second, start WHERE transaction_date >= d)
+        SELECT {_totals("unit_price_currency")} FROM used GROUP BY date_id, unit_price_currency""",
     "daily_summary_topk": f"{_SUMMARY} ORDER BY date_id DESC, currency LIMIT 10",
 }
 

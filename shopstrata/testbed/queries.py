@@ -26,7 +26,7 @@ from shopstrata.sources import landing
 from shopstrata.sources.csv import scan_by_header, scan_with_schema, with_lineage
 from shopstrata.streaming import facts
 from shopstrata.streaming.ingest import BATCH, bronze_log, ingest_landing
-from shopstrata.streaming.runner import append_stream, dedup_stream
+from shopstrata.streaming.runner import append_stream, dedup_stream, stream_table
 from shopstrata.testbed import retail
 
 UNSTABLE = (
@@ -47,7 +47,7 @@ def result(df: DataFrame, *dropped: str) -> DataFrame:
 
 def write_csv(df: DataFrame, folder: str, mode: str = "append") -> None:
     (
-        df.write.mode(mode).option("header", True)
+        df.write.mode(mode).option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
     )
@@ -86,13 +86,15 @@ def schema_infer_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rescued_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files in two layouts: as declared, and reordered with a column nobody declared."""
+    """Files in two layouts: without a column, and reordered with one that nobody declared."""
     folder = scratch_folder(spark, "rescue")
-    items = retail.order_items(spark, sf_dir)
+    items = retail.order_items(spark, sf_dir).withColumn("order_ts", F.col("order_ts").cast("date"))
     first, second = _two_arrivals(items, "dt")
-    write_csv(first.select("order_id", "item_seq", "dt", "quantity"), f"{folder}/landing")
-    write_csv(second.select("quantity", "item_seq", "channel", "order_id", "dt"), f"{folder}/landing")
-    declared = StructType.fromDDL("order_id bigint, item_seq int, dt date, quantity int")
+    write_csv(first.drop("channel"), f"{folder}/landing")
+    write_csv(second.select(*reversed(items.columns)), f"{folder}/landing")
+    declared = StructType.fromDDL(
+        "order_id bigint, item_seq int, dt date, order_ts date, customer_id bigint, product_id bigint, coupon_code string, "
+        "unit_price_currency string, quantity int, unit_price string, discount_pct string, tax_amount double")
     ingest_landing(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoint", declared)
     return bronze_log(spark, f"{folder}/bronze").read().drop(
         "source_file", landing.FILE_TIME, "ingest_timestamp", BATCH)
@@ -126,11 +128,10 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> None:
         ingest_landing(spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/checkpoint")
 
-    columns = ["event_id", "user_id", "event_type", "value", "props"]
-    write_csv(events.filter(middle).select(columns), f"{folder}/landing")
+    write_csv(events.filter(middle), f"{folder}/landing")
     run()
     run()
-    write_csv(events.filter(~middle).select(columns), f"{folder}/landing")
+    write_csv(events.filter(~middle), f"{folder}/landing")
     run()
     rows = bronze_log(spark, f"{folder}/bronze").read()
     ids = {c: F.col(c).cast("bigint") for c in ("event_id", "user_id")}
@@ -139,18 +140,43 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "table-scan")
-    stream = retail.stream(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"
-    )
-    append_stream(stream, f"{folder}/copy", f"{folder}/checkpoint")
+    append_stream(retail.stream(spark, sf_dir, "lineitem"), f"{folder}/copy", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/copy")
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line once, exact repeats dropped: rows are keyed by order, line and what they say."""
     folder = scratch_folder(spark, "dedup")
+    stream = retail.stream(spark, sf_dir, "lineitem")
+    append_stream(dedup_stream(stream, stream.columns), f"{folder}/first", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/first")
+
+
+def stream_dedup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each order line, whichever came first; what it says is a row of the source."""
+    folder = scratch_folder(spark, "dedup-keys")
     keys = ["l_orderkey", "l_linenumber"]
-    stream = retail.stream(spark, sf_dir, "lineitem").select(*keys)
-    append_stream(dedup_stream(stream, keys), f"{folder}/first", f"{folder}/checkpoint")
+    append_stream(
+        dedup_stream(retail.stream(spark, sf_dir, "lineitem"), keys), f"{folder}/first", f"{folder}/checkpoint")
+    first = spark.read.parquet(f"{folder}/first")
+    return first.join(retail.table(spark, sf_dir, "lineitem"), first.columns, "left_semi").select(keys)
+
+
+def stream_dedup_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs under a watermark of two days: the older events; the newer ones with repeats of the
+    last day before them; all events again, and all under new ids. Of the last run only new ids
+    within two days of the newest event are neither repeats nor late.
+    """
+    folder = scratch_folder(spark, "dedup-bounded")
+    events = retail.table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    middle = events.agg(F.expr("date_trunc('DAY', min(ts)) + interval 15 days")).scalar()
+    older = events.filter(F.col("ts") < middle)
+    newer = events.filter(F.col("ts") >= middle - F.expr("interval 1 day"))
+    again = events.unionByName(events.withColumn("event_id", -1 - F.col("event_id")))
+    for part in (older, newer, again):
+        part.write.mode("append").parquet(f"{folder}/events")
+        stream = stream_table(spark, f"{folder}/events")
+        append_stream(dedup_stream(stream, ["event_id"], "ts", "2 days"), f"{folder}/first", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/first")
 
 
@@ -203,6 +229,42 @@ def _upserted_shipments(spark: SparkSession, sf_dir: str, label: str, **options)
     return table
 
 
+def _lake_items(spark: SparkSession, lake: Lake, arrivals: list[DataFrame], max_files: int = 1000) -> DataFrame:
+    """Silver order items after each arrival of landing files has gone through bronze."""
+    for rows in arrivals:
+        # a key's rows lie in one file, so which of them is the newest does not depend on the clock
+        write_csv(rows.repartition("order_id"), lake.landing("order_items"))
+        ingest_landing(
+            spark, lake.landing("order_items"), lake.path("bronze", "order_items"), lake.checkpoint("bronze", "order_items"),
+            max_files=max_files, texts=facts.ORDER_ITEMS.texts)
+        facts.bronze_to_silver(
+            lake.bronze_facts("order_items"), lake.silver_order_items(), silver.clean_order_items,
+            lake.checkpoint("silver", "order_items"))
+    keys = {c: F.col(c).cast("bigint") for c in ("order_id", "customer_id", "product_id")}
+    return result(lake.silver_order_items().read().withColumns(keys))
+
+
+def silver_clean_then_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with plain numbers first, so that schemas are inferred from these; then words and signs."""
+    lake = Lake(spark, scratch_folder(spark, "clean-then-dirty"))
+    early, late = _two_arrivals(retail.order_items(spark, sf_dir), "dt")
+    plain = early.withColumns({
+        "quantity": F.when(F.col("quantity") == "Two", "2").when(F.col("quantity") != "x1", F.col("quantity")),
+        "unit_price": F.replace("unit_price", F.lit("$"), F.lit("")),
+        "discount_pct": F.replace("discount_pct", F.lit("%"), F.lit(""))})
+    return _lake_items(spark, lake, [plain, late])
+
+
+def silver_batch_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files in one batch, and in batches of few files."""
+    items = retail.order_items(spark, sf_dir)
+    made = [
+        _lake_items(spark, Lake(spark, scratch_folder(spark, f"cuts-{cut}")), [items], most).withColumn("cut", F.lit(cut))
+        for cut, most in (("one", 1000), ("several", 3))
+    ]
+    return made[0].unionByName(made[1])
+
+
 def upsert_unconditional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result(_upserted_shipments(spark, sf_dir, "upsert").read())
 
@@ -346,6 +408,26 @@ def daily_summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.daily_summary().read()
 
 
+def daily_summary_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored gold table and its summary, then corrections of any date and a second run of the summary.
+
+    Sales of one part in thirteen have no currency. Only the last days are restated.
+    """
+    lake = Lake(spark, scratch_folder(spark, "summary-restated"))
+    gold_items = lake.gold_order_items()
+    unknown = F.when(F.col("product_id") % 13 != 0, F.col("unit_price_currency"))
+    sold = sold_items(spark, sf_dir).withColumn("unit_price_currency", unknown)
+    gold_items.upsert(sold, one_row_per_key=True)
+    gold_items.settle()
+    summary.refresh_from_table(gold_items, lake.daily_summary())
+    corrected = sold.filter(F.col("transaction_id") % 5 == 0).withColumns({
+        "quantity": F.col("quantity") + 3, "tax_amount": F.col("tax_amount") + 0.25})
+    gold_items.upsert(corrected, one_row_per_key=True)
+    lake.daily_summary().settle()
+    summary.refresh_from_table(gold_items, lake.daily_summary())
+    return lake.daily_summary().read()
+
+
 def daily_summary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.top_rows(daily_summary_full(spark, sf_dir), [F.desc("date_id"), F.asc("currency")], 10)
 
@@ -360,8 +442,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_table_scan": stream_table_scan,
     "stream_resume": stream_resume,
     "stream_dedup": stream_dedup,
+    "stream_dedup_keys": stream_dedup_keys,
+    "stream_dedup_bounded": stream_dedup_bounded,
     "stream_first_arrival": stream_first_arrival,
     "stream_upsert_latest": stream_upsert_latest,
+    "silver_clean_then_dirty": silver_clean_then_dirty,
+    "silver_batch_cuts": silver_batch_cuts,
     "upsert_unconditional": upsert_unconditional,
     "upsert_settled": upsert_settled,
     "change_feed_rows": change_feed_rows,
@@ -393,5 +479,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_summary_full": daily_summary_full,
     "daily_summary_clustered": daily_summary_clustered,
     "daily_summary_incremental": daily_summary_incremental,
+    "daily_summary_restated": daily_summary_restated,
     "daily_summary_topk": daily_summary_topk,
 }

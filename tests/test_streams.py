@@ -119,3 +119,37 @@ def test_thinning_keeps_a_row_of_every_key(spark):
     assert thin.schema == df.schema
     assert thin.select("k").distinct().count() == df.select("k").distinct().count()
     assert thin.filter("k = 7").count() < 20 and thin.join(df, ["l", "at"]).count() == thin.count()
+
+
+def test_a_key_seen_late_and_timely_comes_out_once(spark, tmp_path):
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    runs = [
+        [(1, "00:00:00", "first"), (2, "00:30:00", "first")],
+        [(1, "00:05:00", "too late"), (3, "00:05:00", "too late"), (4, "00:25:00", "timely"), (2, "00:31:00", "repeat")],
+        [(3, "00:40:00", "timely"), (3, "00:10:00", "too late"), (4, "00:26:00", "repeat")],
+        [(2, "02:00:00", "still remembered"), (4, "01:59:00", "still remembered")],  # until a batch ends later
+        [(2, "02:01:00", "forgotten"), (5, "00:10:00", "too late")],
+    ]
+    for run in runs:
+        spark.createDataFrame(run, "k int, at string, note string").selectExpr(
+            "k", "cast(concat('2024-01-01 ', at) as timestamp) as at", "note").coalesce(1).write.mode("append").parquet(source)
+        append_stream(dedup_stream(stream_table(spark, source), ["k"], "at", "10 minutes"), out, f"{tmp_path}/c")
+    assert rows(spark.read.parquet(out), "k", "note") == [
+        (1, "first"), (2, "first"), (2, "forgotten"), (3, "timely"), (4, "timely")]
+
+
+def test_deduplication_for_ever_runs_no_python_and_carries_all_columns(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    spark.range(1000).selectExpr("7 AS k", "cast(null as string) AS l", "id AS v", "map('a', id) AS m", "1 AS _share").write.parquet(source)
+    stream = dedup_stream(stream_table(spark, source), ["k", "l"])
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Deduplicate [") == 2 and not any(w in plan for w in ("Arrow", "Python", "Pandas"))
+    append_stream(stream, f"{tmp_path}/out", f"{tmp_path}/c")
+    [row] = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert (row.k, row.l, row["_share"]) == (7, None, 1) and row.m == {"a": row.v}
+
+
+def test_a_hot_key_meets_in_few_rows(spark, tmp_path):
+    df = spark.range(100_000, numPartitions=64).selectExpr("if(id % 3 = 0, 0, id) AS k")
+    thin = without_near_repeats(df, ["k"])
+    assert thin.filter("k = 0").count() == 32 and thin.select("k").distinct().count() == df.select("k").distinct().count()

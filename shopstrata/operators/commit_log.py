@@ -9,6 +9,7 @@ One writer at a time.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 
@@ -38,16 +39,35 @@ class CommitLog:
     def note(self, number: int) -> dict:
         return json.loads(storage.read_text(self.spark, f"{self.folder(number)}/{NOTE}"))
 
+    def _entry(self, source: str, batch: int) -> str:
+        return f"{self.path}/_batches/{hashlib.md5(source.encode()).hexdigest()}/{batch}"
+
+    def _enter(self, number: int) -> dict:
+        """Note in the index of batches which append holds a batch; does nothing if it is there."""
+        note = self.note(number)
+        if note["batch"] is not None:
+            entry = self._entry(note["source"], note["batch"])
+            if not storage.exists(self.spark, entry):
+                storage.write_text(self.spark, entry, str(number))
+        return note
+
     def find(self, source: str, batch: int) -> int | None:
-        """The append that holds this batch, if it was committed before."""
-        for number in reversed(self.numbers()):
-            note = self.note(number)
-            if note["source"] == source:
-                if note["batch"] == batch:
-                    return number
-                if note["batch"] is not None and note["batch"] < batch:
-                    return None
-        return None
+        """The append that holds this batch, if it was committed before.
+
+        A look into the index of batches, whatever the age of the log. An append is entered there
+        after its commit, at the latest before the next one; so if the writer was lost in
+        between, it is the newest append that is missing, and that one's note is read.
+        """
+        numbers = self.numbers()
+        if not numbers:
+            return None
+        if not storage.exists(self.spark, f"{self.path}/_batches"):  # written before there was an index
+            for number in numbers:
+                self._enter(number)
+        else:
+            self._enter(numbers[-1])
+        entry = self._entry(source, batch)
+        return int(storage.read_text(self.spark, entry)) if storage.exists(self.spark, entry) else None
 
     def schema(self) -> StructType:
         """Schema of the newest append, which later ones only ever add columns to."""
@@ -61,11 +81,14 @@ class CommitLog:
             if done is not None:
                 return done
         number = max(self.numbers(), default=-1) + 1
+        if number:
+            self._enter(number - 1)
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         df.write.mode("overwrite").options(**(options or {})).parquet(staged)
         note = {"source": source, "batch": batch, "schema": json.loads(df.schema.json())}
         storage.write_text(self.spark, f"{staged}/{NOTE}", json.dumps(note))
         storage.publish(self.spark, staged, self.folder(number))
+        self._enter(number)
         return number
 
     def read(self, numbers: list[int] | None = None) -> DataFrame:

@@ -15,8 +15,10 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BooleanType,
     DataType,
     DateType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -39,7 +41,6 @@ FILE_TIME = "file_modified"
 #: renamed, so its values are rescued like those of any column the schema does not know.
 RESERVED = {RESCUED, RAGGED, SOURCE_FILE, FILE_TIME, "_metadata", "ingest_timestamp", "_ingest_batch"}
 RENAMED = {f"{name}_" for name in RESERVED}
-HEADER_FILES = 1000  # files whose first lines are read together
 
 
 def kept_schema(
@@ -47,37 +48,90 @@ def kept_schema(
 ) -> StructType:
     """The schema stored at ``keep_at``; the first call infers it from all files in the landing folder.
 
-    Each group of files with one header is inferred by itself and a column's types are
-    widened over the groups. Columns in ``texts`` are strings whatever the files hold: first
-    files with plain numbers say nothing about later ones.
+    Headers and kinds of values are found by Spark jobs and reduced there; the driver sees one
+    row for each distinct header. A column's type is the narrowest that holds its values in all
+    files. Columns in ``texts`` are strings whatever the files hold: first files with plain
+    numbers say nothing about later ones.
     """
     if storage.exists(spark, keep_at):
         stored = StructType.fromJson(json.loads(storage.read_text(spark, keep_at)))
         return as_text(stored, texts)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    paths: list[str] = []
-    names = landing_files(spark, landing, pattern).orderBy("path").toLocalIterator()
-    for row in names:
-        paths.append(row.path)
-        if len(paths) == HEADER_FILES:
-            _merge(groups, files_by_header(spark, paths))
-            paths = []
-    _merge(groups, files_by_header(spark, paths))
-    if not groups:
+    heads = file_headers(spark, landing, pattern)
+    counts = {row.header: row["count"] for row in heads.groupBy("header").count().collect()}
+    if not counts:
         raise FileNotFoundError(f"no {pattern} below {landing} to infer a schema from")
-    types: dict[str, DataType] = {}
-    for header in sorted(groups, key=lambda h: (-len(groups[h]), h)):
-        found = spark.read.option("header", True).option("inferSchema", True).csv(groups[header]).schema
-        for name, field in zip(header, found):
-            types[name] = widened(types.get(name), field.dataType)
+    names = {header: column_names(header) for header in counts}
+    found = value_kinds(spark, landing, pattern, max(map(len, names.values())))
+    by_header = found.join(heads, "file").groupBy("header").agg(
+        *[F.bit_or(c).alias(c) for c in found.columns if c != "file"])
+    kinds = {row.header: row[1:] for row in by_header.collect()}
+    seen: dict[str, int] = {}
+    for header in sorted(counts, key=lambda h: (-counts[h], h)):
+        for name, kind in zip(names[header], kinds.get(header, [0] * len(names[header]))):
+            seen[name] = seen.get(name, 0) | kind
     inferred = StructType()
-    for name, kind in types.items():
+    for name, kind in seen.items():
         if name not in RENAMED:
-            inferred.add(name, kind)
+            inferred.add(name, narrowest(kind))
     storage.write_text(spark, keep_at, inferred.json())
     return as_text(inferred, texts)
 
 
+def file_headers(spark: SparkSession, landing: str, pattern: str = "*.csv") -> DataFrame:
+    """(file, header): the first line of every file that is not blank; files without one are left out.
+
+    Lines are numbered in reading order, so a file's first line has the smallest number of those in
+    its first block; numbers, not lines, are reduced, and then looked up.
+    """
+    lines = _folder_reader(spark, pattern).text(landing).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+    ).withColumn("_line", F.monotonically_increasing_id())
+    first = lines.filter((F.col("_block") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min("_line").alias("_line"))
+    return lines.join(first, ["file", "_line"]).select("file", F.col("value").alias("header"))
+
+
+#: What a value can be read as, one bit each; the first that fits counts.
+KINDS: tuple[DataType, ...] = (
+    IntegerType(), LongType(), DecimalType(38, 0), DoubleType(), DateType(), TimestampType(), BooleanType())
+TEXT = 1 << len(KINDS)
+
+
+def value_kinds(spark: SparkSession, landing: str, pattern: str, width: int) -> DataFrame:
+    """(file, k0, k1, ...): for each place in a file's rows the bits of all kinds of values that occur.
+
+    Rows are read by place, as text; reduced in each task to one row for each file.
+    """
+    places = StructType([StructField(f"c{n}", StringType()) for n in range(width)])
+    rows = _folder_reader(spark, pattern).schema(places).option("header", True).csv(landing)
+    bits = [F.bit_or(_kind(F.col(c))).alias(f"k{n}") for n, c in enumerate(places.names)]
+    return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(*bits)
+
+
+def _kind(text: Column) -> Column:
+    """The bit of the first kind that a value fits; blanks around it make a text."""
+    fits = F.lit(TEXT)
+    whole, day = text.rlike(r"^[+-]?\d{1,38}$"), text.rlike(r"^[+-]?\d{4,}(-\d{1,2}){1,2}$")
+    for n, kind in reversed(list(enumerate(KINDS))):
+        able = text.try_cast(kind).isNotNull()
+        if isinstance(kind, (IntegerType, LongType, DecimalType)):
+            able = whole & able
+        elif isinstance(kind, DateType):
+            able = day & able  # a cast would drop a time
+        fits = F.when(able, F.lit(1 << n)).otherwise(fits)
+    return F.when(text.isNull() | (text == ""), F.lit(0)).when(F.trim(text) != text, F.lit(TEXT)).otherwise(fits)
+
+
+def narrowest(kinds: int) -> DataType:
+    """The narrowest type that holds values of all these kinds; text where nothing else does, or nothing is known."""
+    held = [kind for n, kind in enumerate(KINDS) if kinds >> n & 1]
+    if not held or kinds & TEXT:
+        return StringType()
+    for ladder in (KINDS[:3], (KINDS[0], KINDS[1], KINDS[3]), KINDS[4:6], KINDS[6:]):
+        if all(kind in ladder for kind in held):
+            return max(held, key=ladder.index)
+    return StringType()
+
+
 def as_text(schema: StructType, texts: Sequence[str]) -> StructType:
     changed = StructType([
         StructField(f.name, StringType(), True) if f.name in texts else f for f in schema])
@@ -87,21 +141,6 @@ def as_text(schema: StructType, texts: Sequence[str]) -> StructType:
     return changed
 
 
-def widened(one: DataType | None, two: DataType) -> DataType:
-    """The narrowest type that holds both; text where nothing else does."""
-    if one is None or one == two:
-        return two
-    for ladder in ((IntegerType(), LongType(), DoubleType()), (DateType(), TimestampType())):
-        if one in ladder and two in ladder:
-            return max(one, two, key=ladder.index)
-    return StringType()
-
-
-def _merge(groups: dict[tuple[str, ...], list[str]], more: dict[tuple[str, ...], list[str]]) -> None:
-    for header, files in more.items():
-        groups.setdefault(header, []).extend(files)
-
-
 def landing_files(spark: SparkSession, landing: str, pattern: str = "*.csv") -> DataFrame:
     """Paths in a landing folder. The binary reader lists files without opening them."""
     return _file_reader(spark.read, pattern).load(landing).select("path")
@@ -119,6 +158,10 @@ def stream_landing_files(
     return reader.option("maxFileAge", "36500d").load(landing).select("path")
 
 
+def _folder_reader(spark: SparkSession, pattern: str):
+    return spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+
+
 def _file_reader(reader, pattern: str):
     return (
         reader.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -140,10 +183,9 @@ def read_as_strings(spark: SparkSession, paths: Sequence[str]) -> DataFrame | No
 
 
 def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Group the files of one batch by their header columns.
+    """Group the files of one batch of the stream (``max_files`` at most) by their header columns.
 
-    Only the first line of each file is opened, as Spark's own reader does to name
-    columns; a batch holds a bounded number of files.
+    Only the first line of each file is opened, as Spark's own reader does to name columns.
     """
     with ThreadPool(min(32, max(1, len(paths)))) as pool:
         headers = pool.map(lambda path: storage.first_line(spark, path), paths)

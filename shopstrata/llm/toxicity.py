@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import Scratch, documents, short_batches
+from shopstrata.llm.scratch import Scratch, documents, gives_back, short_batches
 from shopstrata.llm.words import NO_LETTERS, hash_windows, hash_words, mix, text_slices, words_of
 
 SAMPLE = 20_000  # most labelled rows in a fit
@@ -87,7 +87,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
 
     ``labels`` has (id, toxic) rows to learn from; rows with a null label, or without a text, are left out.
     The sample's features are made in parallel; the online pass over them is one task by
-    nature and sees ``sample`` rows at most. Without rows every score is 0.
+    nature and sees ``sample`` rows at most: an id that several rows have counts once, with
+    the smallest of their texts. Without rows every score is 0.
     """
     short_batches(docs.sparkSession)
     usable = labels.where(F.col("toxic").isNotNull() & F.col("id").isNotNull()).withColumn("_order", F.xxhash64("id"))
@@ -99,7 +100,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
     )
     given = scratch.table(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where("_text IS NOT NULL")
-        .join(F.broadcast(chosen), "id").select("_order", "toxic", "_text"), "labelled")
+        .join(F.broadcast(chosen), "id").groupBy("id", "_order", "toxic").agg(F.min("_text").alias("_text"))
+        .select("_order", "toxic", "_text"), "labelled")
 
     def features(batches):
         for batch in batches:
@@ -125,9 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.append(at, -1)), pa.array(np.append(w[at], bias))], ["bucket", "weight"])
 
-    made = scratch.table(given.mapInArrow(features, "_order bigint, toxic int, found binary"), "features")
+    made = scratch.table(given.mapInArrow(gives_back(features), "_order bigint, toxic int, found binary"), "features")
     ordered = made.coalesce(1).sortWithinPartitions("_order", "toxic", "found")
-    rows = [(r.bucket, r.weight) for r in ordered.mapInArrow(learn, "bucket bigint, weight double").collect()]
+    rows = [(r.bucket, r.weight) for r in ordered.mapInArrow(gives_back(learn), "bucket bigint, weight double").collect()]
     bias = next((w for b, w in rows if b < 0), 0.0)
     scratch.drop("labelled", "features")
     return (bias, [r for r in rows if r[0] >= 0]) if rows else (float("-inf"), [])
@@ -162,7 +164,7 @@ def score(docs: DataFrame, model: tuple[float, list[tuple[int, float]]], text_co
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], out], [*keep, made])
 
     schema = docs.select(*keep, F.lit(0.0).alias(made)).schema
-    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(work, schema)
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(gives_back(work), schema)
 
 
 def learned_model(spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch):

@@ -141,3 +141,40 @@ def spelling(rows, least_count=3, slip=None):
         return root(form[w]) if w in form else w
 
     return in_order((w, form.get(w), root(w), n, len(near[w]), total[form[w]] if w in form else None) for w, n in total.items())
+
+
+def ftrl(examples, bits, alpha, beta, l1, l2, epochs):
+    """Bias and non-zero weights, coordinate by coordinate, from (label, buckets)."""
+    z, n, bias = collections.Counter(), collections.Counter(), 1 << bits
+
+    def weight(i):
+        limit = 0.0 if i == bias else l1
+        if abs(z[i]) <= limit:
+            return 0.0
+        return -(z[i] - math.copysign(limit, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for label, buckets in examples:
+            w = {i: weight(i) for i in [*map(int, buckets), bias]}
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()))))) - label
+            for i, wi in w.items():
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * wi
+                n[i] += g * g
+    return weight(bias), {i: weight(i) for i in z if i != bias and weight(i)}
+
+
+def hidden_markov(tokens, symbol, inner, start, move, emit):
+    """log10 probability of a token sequence: symbols by scaled forward steps, tokens within their symbols."""
+    states, total = range(len(start)), 0.0
+    now = None
+    for token in tokens:
+        s = symbol(token)
+        if now is None:
+            now = [start[k] * emit[s][k] for k in states]
+        else:
+            now = [sum(now[j] * move[j][k] for j in states) * emit[s][k] for k in states]
+        scale = sum(now)
+        now = [x / scale for x in now]
+        total += math.log10(scale) + math.log10(inner(token))
+    return total

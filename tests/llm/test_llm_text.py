@@ -337,6 +337,14 @@ def test_a_table_with_names_of_two_layouts(spark):
     assert [tuple(r) for r in chat_format.table_turns(more).collect()] == [(1, 0, "user", "hi")]
 
 
+def test_the_most_frequent_tokens_come_first(spark):
+    counts = spark.range(5000).select(
+        F.xxhash64("id").alias("token"), F.lit(0).alias("shape"), (F.lit(100_000) / (F.col("id") % 300 + 1)).cast("long").alias("n"))
+    every = sorted((-r.n, r.token) for r in counts.collect())
+    for most in (1, 17, 100, 1234, 4999, 5000):
+        assert sorted((-r.n, r.token) for r in hmm.frequent(counts, most).collect()) == every[:most]
+
+
 @pytest.mark.parametrize("size", [60_000, 70_000])
 def test_equally_frequent_tokens_fill_the_lexicon(spark, size):
     counts = spark.range(size).select(
@@ -351,5 +359,70 @@ def test_smallest_keys(spark):
     rows = [(-(1 << 63),), ((1 << 63) - 1,), (0,), (5,), (5,), (5,), (7,)]
     df = spark.createDataFrame(rows, "k bigint")
     assert hmm.smallest(df, F.col("k"), 7) is None
+    for few in (0, 3):
+        assert [hmm.smallest(df, F.col("k"), n, 3, few) for n in (2, 3, 4, 5)] == [(5, 0), (5, 1), (5, 2), (7, 0)]
     assert [hmm.smallest(df, F.col("k"), n) for n in (0, 1, 2, 3, 4, 5, 6)] == [
         (-(1 << 63), 0), (0, 0), (5, 0), (5, 1), (5, 2), (7, 0), ((1 << 63) - 1, 0)]
+
+
+def test_weights_equal_plain_ftrl():
+    rnd, bits = random.Random(4), 6
+    examples = []
+    for _ in range(200):
+        found = sorted(rnd.sample(range(1 << bits), rnd.randint(0, 12)))
+        examples.append((int(3 in found or rnd.random() < 0.1), np.array(found, np.int64)))
+    bias, weights = toxicity.train(examples, bits)
+    want_bias, want = brute.ftrl(examples, bits, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2, toxicity.EPOCHS)
+    assert bias == pytest.approx(want_bias, rel=1e-9) and want[3] > 0
+    assert np.flatnonzero(weights).tolist() == sorted(want)
+    assert all(weights[i] == pytest.approx(w, rel=1e-9) for i, w in want.items())
+
+
+def test_a_fit_sees_no_more_rows_than_ids(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(300)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "id bigint, toxic int")
+    kept = []
+    monkeypatch.setattr(scratch, "drop", lambda *names: kept.extend(names))
+    given = toxicity.fit(docs, labels, scratch, sample=2)
+    assert "labelled" in kept and spark.read.parquet(f"{scratch.folder}/labelled").count() == 2
+    assert given == toxicity.fit(docs.orderBy(F.desc("text")), labels, scratch, sample=2)
+
+
+@pytest.mark.parametrize("most", [5, 65_536])
+def test_scores_equal_a_plain_model_end_to_end(spark, scratch, monkeypatch, most):
+    rnd = random.Random(most)
+    vocabulary = [f"{a}{b}" for a in ("abc", "abd", "xyz", "é") for b in range(6)]
+    rows = [(i, " ".join(rnd.choices(vocabulary, k=rnd.randint(0, 30))).title()) for i in range(40)] + [(40, None), (41, ""), (42, "new abc9 new")]
+    kept = {}
+    train, frequent = hmm.trained, hmm.frequent
+    monkeypatch.setattr(hmm, "frequent", lambda counts: frequent(counts, most))  # the others are joined
+    monkeypatch.setattr(
+        hmm, "trained", lambda encoded, lexicon: kept.setdefault("chain", train(encoded, kept.setdefault("lexicon", lexicon))))
+    held = lambda i: i % 4 == 0 or i > 39
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.id: r for r in hmm.score(df, (F.col("doc_id") % 4 == 0) | (F.col("doc_id") > 39), scratch).collect()}
+    lexicon, chain = kept["lexicon"], kept["chain"]
+    texts = {i: brute.WORD.findall(brute.lower(t)) for i, t in rows}
+    count = {}
+    for i, words_ in texts.items():
+        for w in [] if held(i) else [*words_, None]:
+            count[w] = count.get(w, 0) + 1
+    # which words are symbols of their own, and the shape of the others, as the lexicon was told
+    array = pa.array([w for w in sorted({w for ws in texts.values() for w in ws})], pa.string())
+    _, hashes, shapes = hmm.token_hashes(array)
+    symbols = dict(zip(lexicon.tokens.tolist(), lexicon.symbols.tolist()))
+    symbol = {None: 0} | {w: symbols.get(h, 1 + hmm.OWN + s) for w, h, s in zip(array.to_pylist(), hashes.tolist(), shapes.tolist())}
+
+    def inner(w):
+        if symbol[w] <= hmm.OWN:
+            return 1.0
+        inside = [n for v, n in count.items() if symbol[v] == symbol[w]]
+        return (count.get(w, 0) + 0.5) / (sum(inside) + 0.5 * (len(inside) + 1))
+
+    whole, distinct_ = sum(count.values()), len(count)
+    for i, words_ in texts.items():
+        tokens = [*words_, None]
+        want = brute.hidden_markov(tokens, symbol.get, inner, chain.start, chain.move, chain.emit)
+        base = sum(np.log10((count.get(w, 0) + 0.5) / (whole + 0.5 * (distinct_ + 1))) for w in tokens)
+        assert got[i].score == pytest.approx(want, rel=1e-5) and got[i].base_score == pytest.approx(base, rel=1e-9)
+        assert (got[i].n_tokens, got[i].n_known) == (len(tokens), sum(w in count for w in tokens))

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Lists of keys up to this length reach the parquet scan as they are, not as one range.
     "spark.sql.parquet.pushdown.inFilterThreshold": "200",
+    # Batches for Python are cut by size as well: rows hold whole texts of any length.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Deduplication state of a stream outgrows the heap; keep it on local disk
     # with its changelog in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":

@@ -1,16 +1,18 @@
-"""Removal of passages that repeat, by relative Lempel-Ziv factors.
+"""Removal of passages that repeat, exactly, by anchored phrases of the whole corpus.
 
-The reference is the corpus itself. Every text is cut into phrases at anchors, the smallest
+The corpus is its own reference. Every text is cut into phrases at anchors, the smallest
 hashed run of ``ANCHOR`` words in each window of ``WINDOW`` words: equal windows have equal
 anchors wherever they stand, so a phrase (the windows that share an anchor) needs to be
-compared only with phrases of the same anchor. The phrases, spread over blocks by anchor, are
-the index; each text is factored against every block that can hold a match for it, and no
-block that can is left out.
-
-A phrase that occurs again as a whole is a factor and extends greedily through all its
-windows. At the ends of a factor a phrase matches in part only; there every window is looked
-up by a 128-bit digest in the index of that anchor's phrases. Copies of one phrase are
-compared once. The result is exact up to the chance that two different digests meet.
+compared only with phrases of the same anchor. The phrases of all texts, dealt out by
+anchor, are the index.
+
+A phrase that occurs again as a whole, by its digest, is a duplicate span with all its windows.
+Where phrases of one anchor differ, at the ends of a repeated passage, every window of one copy
+of each is looked up by a 128-bit digest. So a repeated passage is found as a row of whole
+phrases and the windows at both its ends; no window is left out. This takes the place of a
+greedy Lempel-Ziv parse of each text against every block of the corpus: the spans are the same,
+but no text is read against a block that holds no match, and no factor is carried from phrase to
+phrase. The result is exact up to the chance that two different digests meet.
 """
 
 from __future__ import annotations
@@ -176,9 +178,9 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
         shared.groupBy("anchor", "digest").agg(
             F.count("*").alias("times"), F.min(F.struct("_id", "_mark", "pos", "n")).alias("first")), "known")
 
-    # factors that match as a whole
+    # phrases that occur again as a whole
     whole = shared.join(known.where("times > 1").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
-    # ends of factors: one of each phrase whose anchor has several
+    # ends of passages: one of each phrase whose anchor has several
     several = scratch.table(known.groupBy("anchor").count().where("count > 1").select("anchor"), "several")
     ends = known.join(several, "anchor", "left_semi").select("first.*")
     windows = scratch.table(_window_table(_with_spans(given, ends, "inner"), window), "windows")
@@ -190,9 +192,12 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", te
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
-    """Texts with all their spans; a text has at most as many as words."""
+    """Texts with all their spans, each once; a text has at most as many as words.
+
+    Rows that repeat share an entry, so their spans do not add up.
+    """
     listed = spans.groupBy(F.col("_id").alias("_i"), F.col("_mark").alias("_m")).agg(
-        F.collect_list(F.struct("pos", "n")).alias("spans"))
+        F.collect_set(F.struct("pos", "n")).alias("spans"))
     same = docs["_id"].eqNullSafe(listed["_i"]) & docs["_mark"].eqNullSafe(listed["_m"])
     return docs.join(listed, same, how).select("_id", "_mark", "_text", "spans")
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstrata.llm.scratch import documents, short_batches
+from shopstrata.llm.scratch import documents, gives_back, short_batches
 from shopstrata.llm.words import text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -287,7 +287,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             automaton.restart()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
-    return given.mapInArrow(work, f"id {dict(docs.dtypes)[id_col]}, ids binary")
+    return given.mapInArrow(gives_back(work), f"id {dict(docs.dtypes)[id_col]}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -299,7 +299,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         yield from _batches(batches, "_ids", "text", pa.string(), lambda ids: labels.decode(ids or b""))
 
     given = encoded.select("id", "ids", F.col("ids").alias("_ids"))
-    return given.mapInArrow(work, f"id {dict(encoded.dtypes)['id']}, ids binary, text string")
+    return given.mapInArrow(gives_back(work), f"id {dict(encoded.dtypes)['id']}, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -317,7 +317,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             automaton.restart()
 
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
-    return given.mapInArrow(work, f"id {dict(docs.dtypes)[id_col]}, ids binary, text string")
+    return given.mapInArrow(gives_back(work), f"id {dict(docs.dtypes)[id_col]}, ids binary, text string")
 
 
 def digest(docs: DataFrame, path: str) -> DataFrame:

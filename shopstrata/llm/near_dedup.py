@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from shopstrata.functions.columns import named
 from shopstrata.llm.components import components
-from shopstrata.llm.scratch import Scratch, documents, unused
+from shopstrata.llm.scratch import Scratch, documents, gives_back, unused
 from shopstrata.llm.words import Words, hash_windows, hash_words, mix, text_slices, words_of
 
 SHINGLE = 3
@@ -98,8 +98,10 @@ def padded(sketches: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return table, lengths
 
 
-def estimate(one: np.ndarray, two: np.ndarray, size: int) -> np.ndarray:
-    """Similarity of pairs of padded rows by the bottom ``size`` of their union."""
+def estimate(one: np.ndarray, two: np.ndarray, size: int, rows: int = 2048) -> np.ndarray:
+    """Similarity of pairs of padded rows by the bottom ``size`` of their union, some rows at a time."""
+    if len(one) > rows:
+        return np.concatenate([estimate(one[n:n + rows], two[n:n + rows], size, rows) for n in range(0, len(one), rows)])
     both = np.sort(np.concatenate([one, two], 1), 1)
     again = np.zeros(both.shape, bool)
     again[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != NONE)
@@ -221,7 +223,7 @@ def sketches(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
                     ["_id", "_mark", "n", "digest", "sketch"])
 
     return docs.mapInArrow(
-        work, f"_id {dict(docs.dtypes)['_id']}, _mark int, n bigint, digest binary, sketch binary")
+        gives_back(work), f"_id {dict(docs.dtypes)['_id']}, _mark int, n bigint, digest binary, sketch binary")
 
 
 def listings(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -237,7 +239,7 @@ def listings(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys).view(np.int64)), pa.array(owner)], ["key", "cls"])
 
-    return classes.select("cls", "n", "sketch").mapInArrow(work, "key bigint, cls bigint")
+    return classes.select("cls", "n", "sketch").mapInArrow(gives_back(work), "key bigint, cls bigint")
 
 
 def overlaps(members: DataFrame, percent: int) -> DataFrame:
@@ -273,7 +275,7 @@ def overlaps(members: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cls[np.concatenate(one)]), pa.array(cls[np.concatenate(two)])], ["a", "b"])
 
-    return members.mapInArrow(work, "a bigint, b bigint")
+    return members.mapInArrow(gives_back(work), "a bigint, b bigint")
 
 
 def confirm(members: DataFrame, percent: int, keys: list[str], width: int = SHINGLE) -> DataFrame:
@@ -310,7 +312,7 @@ def confirm(members: DataFrame, percent: int, keys: list[str], width: int = SHIN
                         pa.array([classes[picked[i]] for i, _ in links], pa.int64()),
                         pa.array([classes[picked[j]] for _, j in links], pa.int64())], ["a", "b"])
 
-    return members.mapInArrow(work, "a bigint, b bigint")
+    return members.mapInArrow(gives_back(work), "a bigint, b bigint")
 
 
 def text_mark(text: Column) -> Column:
@@ -372,7 +374,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
     ours = classes.select("cls", "_id", "_mark").join(placed, "cls")
     texts = scratch.table(given.join(
         ours, given["_id"].eqNullSafe(ours["_id"]) & given["_mark"].eqNullSafe(ours["_mark"])
-    ).select("cluster", "cls", "size", "blocks", "block", "_text"), "texts")
+    ).groupBy("cluster", "cls", "size", "blocks", "block").agg(F.min("_text").alias("_text")), "texts")  # repeated rows once
     head = (F.col("size") > BLOCK) & (F.pmod(F.xxhash64("cls", F.lit(1)), F.col("size")) < HEAD)
     meet = F.when(head, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
     first = texts.select(

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
@@ -56,6 +60,23 @@ def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*map(named, keys)).agg(F.min_by(row, F.struct(*ordered)).alias(kept)).select(f"{kept}.*")
 
 
+def gives_back(work: Callable) -> Callable:
+    """A function over Arrow batches whose worker returns its free memory when it is done.
+
+    Workers are used again for other stages; what an allocator keeps would add up over them.
+    """
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def short_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand whole texts to Python in batches of so many rows; a batch lies in a worker's memory at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

@@ -203,3 +203,17 @@ def test_covering_bounds_prune(monkeypatch):
     compared = []
     embedding_dedup.traverse(points, points, True, 0.93, lambda a, b, linked, twin: compared.append(linked.size))
     assert sum(compared) <= 8 * 50 * 50  # no pair of clusters is looked at
+
+
+def test_repeated_rows_cost_no_more_than_one(spark, scratch):
+    text = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, text)] * 200 + [(2, text + " more"), (3, "x " + text)]
+    got = substring.remove_repeats(table(spark, rows), scratch)
+    assert brute.in_order(got.select("id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256)).collect()) == brute.substring(rows)
+    listed = substring._with_spans(
+        table(spark, rows, "_id bigint, _text string").withColumn("_mark", F.lit(1)),
+        table(spark, [(1, 1, 5, 2)] * 200, "_id bigint, _mark int, pos int, n int"), "inner")
+    assert {len(r.spans) for r in listed.collect()} == {1}
+    near = Scratch(spark, "near")
+    found = near_dedup.near_duplicates(table(spark, rows), near)
+    assert brute.in_order(r[0:1] + r[2:] for r in found.collect()) == brute.near(rows)

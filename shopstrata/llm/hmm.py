@@ -149,6 +149,14 @@ def token_hashes(texts: pa.Array):
     return words, hash_words(words).view(np.int64), shape
 
 
+def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, where one of each is, and how many there are."""
+    order = np.argsort(values)
+    in_order = values[order]
+    first = np.flatnonzero(np.r_[len(values) > 0, in_order[1:] != in_order[:-1]])
+    return in_order[first], order[first], np.diff(np.append(first, len(values)))
+
+
 def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(token, shape, n): exact counts of all tokens; ends are the token ``END`` with shape -1."""
 
@@ -157,7 +165,7 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = batch.column("_text")
             for low, high in text_slices(texts, 16 << 20):
                 _, hashes, shape = token_hashes(texts.slice(low, high - low))
-                tokens, first, n = np.unique(hashes, return_index=True, return_counts=True)
+                tokens, first, n = counted(hashes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.append(tokens, END)), pa.array(np.append(shape[first], -1).astype(np.int32)),
                      pa.array(np.append(n, high - low))], ["token", "shape", "n"])
@@ -166,52 +174,68 @@ def count_tokens(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("token", "shape").agg(F.sum("n").alias("n"))
 
 
-def smallest(rows: DataFrame, key: Column, most: int, bins: int = 512) -> tuple[int, int] | None:
+def smallest(rows: DataFrame, key: Column, most: int, bins: int = 4096, few: int = 10_000) -> tuple[int, int] | None:
     """(value, rest): rows with a smaller key and ``rest`` of those with this value are ``most``.
 
     ``key`` is an integer column. Each step counts the rows of at most ``bins`` ranges and goes on
-    inside the one where the sum passes ``most``. None if there are not more rows than that.
+    inside the one where the sum passes ``most``, until it holds ``few`` rows or one value.
+    None if there are not more rows than ``most``.
     """
     keyed = rows.select(key.cast("decimal(20,0)").alias("k"))
     low, high, count = keyed.agg(F.min("k"), F.max("k"), F.count("*")).first()
     if count <= most:
         return None
     low, high, rest = int(low), int(high), most
-    while low < high:
+    while low < high and count > few:
         width = (high - low) // bins + 1
         place = F.expr(f"(k - {low}BD) div {width}BD").alias("place")
         sizes = keyed.where(F.col("k").between(low, high)).groupBy(place).count().collect()
-        for number, size in sorted(map(tuple, sizes)):
-            if size > rest:
+        for number, count in sorted(map(tuple, sizes)):
+            if count > rest:
                 break
-            rest -= size
+            rest -= count
         low = low + number * width
         high = min(high, low + width - 1)
-    return low, rest
+    if low == high:
+        return low, rest
+    left = sorted(int(r.k) for r in keyed.where(F.col("k").between(low, high)).collect())
+    return left[rest], rest - left.index(left[rest])
 
 
 def frequent(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
-    """The ``most`` most frequent tokens, all if there are not more; of equal counts the smaller tokens."""
-    edge = smallest(counts, -F.col("n"), most)
-    if edge is None:
+    """The ``most`` most frequent tokens, all if there are not more; of equal counts the smaller tokens.
+
+    A histogram of at most 512 bins finds the counts among which the last ones are, and only
+    inside that bin the least count, then the last token that has it, are looked for.
+    """
+    place = F.floor(F.log2("n") * 8).cast("int").alias("place")
+    bins = counts.groupBy(place).agg(F.count("*"), F.min("n"), F.max("n")).collect()
+    rest = most
+    for _, size, low, high in sorted(map(tuple, bins), reverse=True):
+        if size > rest:
+            break
+        rest -= size
+    else:
         return counts
-    above = counts.where(F.col("n") > -edge[0])
-    equal = counts.where(F.col("n") == -edge[0])
-    last = smallest(equal, F.col("token"), edge[1])
-    if last is None:
-        return above.unionByName(equal)
-    return above.unionByName(equal.where(F.col("token") < last[0]))
+    least = low
+    if low < high:
+        edge, rest = smallest(counts.where(F.col("n").between(low, high)), -F.col("n"), rest)
+        least = -edge
+    last = smallest(counts.where(F.col("n") == least), F.col("token"), rest)
+    first = F.lit(True) if last is None else F.col("token") < last[0]
+    return counts.where((F.col("n") > least) | ((F.col("n") == least) & first))
 
 
 class Lexicon:
     """What every task needs to know of the vocabulary; its size does not depend on the corpus."""
 
     def __init__(self, counts: DataFrame):
-        ends = counts.where("shape < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-        whole = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+        whole = counts.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"),
+            F.coalesce(F.sum(F.when(F.col("shape") < 0, F.col("n"))), F.lit(0)).alias("ends")).first()
         top = frequent(counts.where("shape >= 0")).toPandas()
         top = top.sort_values(["n", "token"], ascending=[False, True], ignore_index=True)
-        self.total, self.distinct, self.ends = int(whole.n), int(whole.v), int(ends)
+        self.total, self.distinct, self.ends = int(whole.n), int(whole.v), int(whole.ends)
         symbol = np.where(np.arange(len(top)) < OWN, 1 + np.arange(len(top)), 1 + OWN + top["shape"].to_numpy())
         order = np.argsort(top["token"].to_numpy(), kind="stable")
         self.tokens = top["token"].to_numpy(np.int64)[order]
@@ -227,7 +251,7 @@ class Lexicon:
         self.share = np.ones(SYMBOLS)  # divisor inside a symbol
         self.share[1 + OWN:] = size + 0.5 * (kinds + 1)
         unigram = np.zeros(SYMBOLS)
-        unigram[0], unigram[1 + OWN:] = ends, size
+        unigram[0], unigram[1 + OWN:] = self.ends, size
         unigram[1:1 + len(own)] = own["n"]
         self.unigram = (unigram + 0.5) / (unigram + 0.5).sum()
 

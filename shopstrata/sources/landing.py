@@ -62,8 +62,11 @@ def kept_schema(
         raise FileNotFoundError(f"no {pattern} below {landing} to infer a schema from")
     names = {header: column_names(header) for header in counts}
     found = value_kinds(spark, landing, pattern, max(map(len, names.values())))
-    by_header = found.join(heads, "file").groupBy("header").agg(
-        *[F.bit_or(c).alias(c) for c in found.columns if c != "file"])
+    if len(counts) == 1:  # all files have this header, so none need be looked up
+        by_header = found.withColumn("header", F.lit(next(iter(counts))))
+    else:
+        by_header = found.join(heads, "file")
+    by_header = by_header.groupBy("header").agg(*[F.bit_or(c).alias(c) for c in found.columns if c != "file"])
     kinds = {row.header: row[1:] for row in by_header.collect()}
     seen: dict[str, int] = {}
     for header in sorted(counts, key=lambda h: (-counts[h], h)):
@@ -81,13 +84,15 @@ def file_headers(spark: SparkSession, landing: str, pattern: str = "*.csv") -> D
     """(file, header): the first line of every file that is not blank; files without one are left out.
 
     Lines are numbered in reading order, so a file's first line has the smallest number of those in
-    its first block; numbers, not lines, are reduced, and then looked up.
+    its first block; numbers, not lines, are reduced, and then looked up. The numbers, one for each file
+    as in Spark's own list of files, are broadcast: lines are not shuffled.
     """
     lines = _folder_reader(spark, pattern).text(landing).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
     ).withColumn("_line", F.monotonically_increasing_id())
-    first = lines.filter((F.col("_block") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min("_line").alias("_line"))
-    return lines.join(first, ["file", "_line"]).select("file", F.col("value").alias("header"))
+    opening = lines.filter((F.col("_block") == 0) & (F.trim("value") != ""))
+    first = opening.groupBy("file").agg(F.min("_line").alias("_line"))
+    return opening.join(F.broadcast(first), ["file", "_line"]).select("file", F.col("value").alias("header"))
 
 
 #: What a value can be read as, one bit each; the first that fits counts.
@@ -99,26 +104,57 @@ TEXT = 1 << len(KINDS)
 def value_kinds(spark: SparkSession, landing: str, pattern: str, width: int) -> DataFrame:
     """(file, k0, k1, ...): for each place in a file's rows the bits of all kinds of values that occur.
 
-    Rows are read by place, as text; reduced in each task to one row for each file.
+    Rows are read by place, as text; reduced in each task to one row for each file. The values of a
+    row go through one function as an array: generated code of a copy for each column would be too long to be
+    compiled well.
     """
     places = StructType([StructField(f"c{n}", StringType()) for n in range(width)])
     rows = _folder_reader(spark, pattern).schema(places).option("header", True).csv(landing)
-    bits = [F.bit_or(_kind(F.col(c))).alias(f"k{n}") for n, c in enumerate(places.names)]
-    return rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(*bits)
+    kinds = rows.select(
+        F.col("_metadata.file_path").alias("file"), F.transform(F.array(*map(named, places.names)), _kind).alias("kinds"))
+    return kinds.groupBy("file").agg(*[F.bit_or(F.col("kinds")[n]).alias(f"k{n}") for n in range(width)])
+
+
+#: What a cast leaves out at the ends of a value.
+_ENDS = r"[\x00- \x7f]*"
+#: First characters of all values that a cast to any of the kinds may take, and all such values, with more among them;
+#: other values are texts. A cast that fails costs a Java exception, many times the work of a pattern.
+_LEADS = (*range(33), 127, *map(ord, "+-.0123456789tTfFyYnNiI"))
+_POSSIBLE = (
+    rf"(?is)^(?:[-+.\d\x00- \x7f][-+.:/~\w\x00- \x7f]*|(?:t|true|f|false|y|yes|n|no|nan|inf|infinity|t\d.*){_ENDS})$")
+_DOUBLE = (
+    rf"(?i)^{_ENDS}[-+]?(?:nan|inf|infinity|0x[\da-f.]+p[-+]?\d+[fd]?|(?:\d+\.?\d*|\.\d+)(?:e[-+]?\d+)?[fd]?){_ENDS}$")
+_MOMENT = rf"(?i)^{_ENDS}(?:[-+]?\d{{4}}|t\d)"
+_BOOLEAN = rf"(?i)^{_ENDS}(?:t|true|f|false|y|yes|n|no|1|0){_ENDS}$"
 
 
 def _kind(text: Column) -> Column:
     """The bit of the first kind that a value fits; blanks around it make a text."""
-    fits = F.lit(TEXT)
-    whole, day = text.rlike(r"^[+-]?\d{1,38}$"), text.rlike(r"^[+-]?\d{4,}(-\d{1,2}){1,2}$")
-    for n, kind in reversed(list(enumerate(KINDS))):
-        able = text.try_cast(kind).isNotNull()
-        if isinstance(kind, (IntegerType, LongType, DecimalType)):
-            able = whole & able
-        elif isinstance(kind, DateType):
-            able = day & able  # a cast would drop a time
-        fits = F.when(able, F.lit(1 << n)).otherwise(fits)
-    return F.when(text.isNull() | (text == ""), F.lit(0)).when(F.trim(text) != text, F.lit(TEXT)).otherwise(fits)
+
+    def bit(kind: type[DataType]) -> Column:
+        return F.lit(1 << [type(k) for k in KINDS].index(kind))
+
+    def fits(kind: DataType, able: Column) -> Column:
+        return F.when(able & text.try_cast(kind).isNotNull(), bit(type(kind)))
+
+    short, long, any_whole = text.try_cast("bigint"), F.length(text) > 18, text.try_cast(KINDS[2])
+    whole = (
+        F.when(long, F.when(any_whole.between(-(1 << 31), (1 << 31) - 1), bit(IntegerType))
+               .when(any_whole.between(-(1 << 63), (1 << 63) - 1), bit(LongType))
+               .when(any_whole.isNotNull(), bit(DecimalType)))
+        .when(short.between(-(1 << 31), (1 << 31) - 1), bit(IntegerType)).when(short.isNotNull(), bit(LongType)))
+    found = F.coalesce(
+        F.when(text.contains(":") | ~F.ascii(text).between(*map(ord, "+9")) & ~text.rlike(_POSSIBLE), F.coalesce(
+            fits(TimestampType(), text.contains(":") & text.rlike(_POSSIBLE)), F.lit(TEXT))),
+        F.when(text.rlike(r"^[+-]?\d{1,38}$"), whole),
+        fits(DateType(), text.rlike(r"^[+-]?\d{4,}(-\d{1,2}){1,2}$")),  # a cast would drop a time
+        fits(DoubleType(), text.rlike(_DOUBLE)),
+        fits(TimestampType(), text.rlike(_MOMENT) & text.rlike(_POSSIBLE)),
+        fits(BooleanType(), text.rlike(_BOOLEAN)),
+        F.lit(TEXT))
+    blank = text.isNull() | (text == "")
+    sure_text = text.startswith(" ") | text.endswith(" ") | ~F.ascii(text).isin(*_LEADS)
+    return F.when(blank, F.lit(0)).when(sure_text, F.lit(TEXT)).otherwise(found)
 
 
 def narrowest(kinds: int) -> DataType:

@@ -26,7 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, DateType, IntegralType, NumericType, StructType, TimestampType
+from pyspark.sql.types import AtomicType, BooleanType, DateType, IntegralType, NumericType, StructType, TimestampType
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
@@ -41,7 +41,8 @@ FEED_COLUMNS = (CHANGE, VERSION, STAMP)
 INSERT, BEFORE, AFTER = "insert", "update_preimage", "update_postimage"
 
 MAX_BUCKETS = 100_000  # Spark's own default ceiling
-HASH_BUILD_BYTES = 64 << 20  # most parquet bytes of a batch per bucket for a hash join
+HASH_BUILD_BYTES = 64 << 20  # most bytes of a batch's keys per bucket, as rows in memory, for a hash join
+HELD = 3  # how often a task that folds a bucket holds its rows: both sides of a join, and the sort for the writer
 FEW_KEYS = 200  # most values of a key column that are handed to the scan as a list
 RANGES = 64  # most ranges of the first key that are handed to the scan
 PAGE_ROWS = 1000  # most rows of a page, the least that a filter skips
@@ -70,7 +71,8 @@ class KeyedTable:
     so filters on those columns skip row groups and pages; ``cluster_by`` orders them by the
     interleaved bits of several columns instead, so filters on any of these skip. A snapshot
     is due when the commits after the last one exceed both ``settle_bytes`` and
-    ``settle_share`` of its size.
+    ``settle_share`` of its size. A snapshot has buckets enough that a task that folds one of them holds
+    about ``bucket_bytes`` at most, counted as rows in memory: columns that compress well are small on disk only.
     """
 
     def __init__(
@@ -188,7 +190,7 @@ class KeyedTable:
         incoming = with_columns_of(self.spark.read.schema(rows.schema).parquet(staged), self.schema())
         self._settle_if_due(commits)
         version = self.log.append(
-            self._compare(incoming, commits, storage.size_bytes(self.spark, staged)),
+            self._compare(incoming, commits, self._key_bytes(incoming)),
             source, batch, self._lookup_options(),
         )
         storage.remove(self.spark, staged)
@@ -210,6 +212,10 @@ class KeyedTable:
         written = F.to_json(F.struct(*map(named, self.keys)), {"ignoreNullFields": "false"})
         return rows.withColumn(MATCH, written)
 
+    def _key_bytes(self, incoming: DataFrame) -> int:
+        """About what the keys of a staged batch take in memory; its rows are counted in the files' footers."""
+        return incoming.count() * row_bytes(self._with_match(incoming).select(*map(named, self.matched_by)).schema)
+
     def _compare(self, incoming: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
         """The changes that merging ``incoming`` makes."""
         columns = incoming.columns
@@ -392,6 +398,11 @@ class KeyedTable:
         held = storage.size_bytes(self.spark, snapshot.path) if snapshot else 0
         return held, storage.size_bytes(self.spark, *[self.log.folder(n) for n in later])
 
+    def _rows_held(self, snapshot: Snapshot | None, later: list[int]) -> int:
+        """Rows of the snapshot and the new images after it, counted in the files' footers."""
+        held = self.spark.read.schema(self.schema()).parquet(f"{snapshot.path}/rows").count() if snapshot else 0
+        return held + self._images(later).count()
+
     def _settle_if_due(self, commits: list[int]) -> None:
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
@@ -408,7 +419,7 @@ class KeyedTable:
         if not later:
             return
         newest = commits[-1]
-        buckets = self._bucket_count(sum(self._bytes(snapshot, later)))
+        buckets = self._bucket_count(HELD * self._rows_held(snapshot, later) * row_bytes(self.schema()))
         if snapshot and snapshot.buckets == buckets:
             rows = self._folded(snapshot, later)
         else:
@@ -488,6 +499,24 @@ class KeyedTable:
             storage.remove(self.spark, snapshot.path)
 
 
+def row_bytes(schema: StructType) -> int:
+    """About what a row takes in memory: a word for each column, more for one of variable length, a header and a pointer."""
+    fixed = (NumericType, DateType, TimestampType, BooleanType)
+    return 32 + sum(8 if isinstance(f.dataType, fixed) else 32 for f in schema)
+
+
+def part_of(value: Column, cuts: Sequence) -> Column:
+    """How many of the sorted ``cuts`` a value lies beyond, found by halving."""
+
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value > F.lit(cuts[middle]), within(middle + 1, high)).otherwise(within(low, middle))
+
+    return within(0, len(cuts))
+
+
 def key_ranges(keys: DataFrame) -> list[tuple]:
     """At most ``RANGES`` ranges that hold all values of the one column.
 
@@ -501,8 +530,7 @@ def key_ranges(keys: DataFrame) -> list[tuple]:
         return [tuple(whole)]
     shares = [n / RANGES for n in range(1, RANGES)]
     cuts = sorted(set(keys.agg(F.percentile_approx(value, shares, 1000)).first()[0]))
-    part = reduce(lambda one, two: one + two, [(value > F.lit(cut)).cast("int") for cut in cuts])
-    found = keys.filter(value.isNotNull()).groupBy(part.alias("part")).agg(F.min(value), F.max(value)).collect()
+    found = keys.filter(value.isNotNull()).groupBy(part_of(value, cuts).alias("part")).agg(F.min(value), F.max(value)).collect()
     ranges = sorted((low, high) for _, low, high in found)
     covered, reach = sum(((high - low) for low, high in ranges), whole[0] - whole[0]), whole[1] - whole[0]
     return ranges if covered * 2 < reach else [tuple(whole)]

@@ -51,7 +51,7 @@ def kept_schema(
     Headers and kinds of values are found by Spark jobs and reduced there; the driver sees one
     row for each distinct header. A column's type is the narrowest that holds its values in all
     files. Columns in ``texts`` are strings whatever the files hold: first files with plain
-    numbers say nothing about later ones.
+    numbers say nothing about later ones. The kinds of their values decide nothing, so they are not looked for.
     """
     if storage.exists(spark, keep_at):
         stored = StructType.fromJson(json.loads(storage.read_text(spark, keep_at)))
@@ -61,7 +61,9 @@ def kept_schema(
     if not counts:
         raise FileNotFoundError(f"no {pattern} below {landing} to infer a schema from")
     names = {header: column_names(header) for header in counts}
-    found = value_kinds(spark, landing, pattern, max(map(len, names.values())))
+    width = max(map(len, names.values()))
+    settled = [n for n in range(width) if all(header[n] in texts for header in names.values() if n < len(header))]
+    found = value_kinds(spark, landing, pattern, width, settled)
     if len(counts) == 1:  # all files have this header, so none need be looked up
         by_header = found.withColumn("header", F.lit(next(iter(counts))))
     else:
@@ -101,18 +103,22 @@ KINDS: tuple[DataType, ...] = (
 TEXT = 1 << len(KINDS)
 
 
-def value_kinds(spark: SparkSession, landing: str, pattern: str, width: int) -> DataFrame:
+def value_kinds(
+    spark: SparkSession, landing: str, pattern: str, width: int, settled: Sequence[int] = ()
+) -> DataFrame:
     """(file, k0, k1, ...): for each place in a file's rows the bits of all kinds of values that occur.
 
     Rows are read by place, as text; reduced in each task to one row for each file. The values of a
     row go through one function as an array: generated code of a copy for each column would be too long to be
-    compiled well.
+    compiled well. Places whose type is ``settled`` already get no bits.
     """
     places = StructType([StructField(f"c{n}", StringType()) for n in range(width)])
     rows = _folder_reader(spark, pattern).schema(places).option("header", True).csv(landing)
-    kinds = rows.select(
-        F.col("_metadata.file_path").alias("file"), F.transform(F.array(*map(named, places.names)), _kind).alias("kinds"))
-    return kinds.groupBy("file").agg(*[F.bit_or(F.col("kinds")[n]).alias(f"k{n}") for n in range(width)])
+    asked = [n for n in range(width) if n not in settled]
+    values = F.array(*[named(places.names[n]) for n in asked]).cast("array<string>")
+    kinds = rows.select(F.col("_metadata.file_path").alias("file"), F.transform(values, _kind).alias("kinds"))
+    bits = {n: F.bit_or(F.col("kinds")[at]) for at, n in enumerate(asked)}
+    return kinds.groupBy("file").agg(*[bits.get(n, F.max(F.lit(0))).alias(f"k{n}") for n in range(width)])
 
 
 #: What a cast leaves out at the ends of a value.
@@ -125,6 +131,7 @@ _POSSIBLE = (
 _DOUBLE = (
     rf"(?i)^{_ENDS}[-+]?(?:nan|inf|infinity|0x[\da-f.]+p[-+]?\d+[fd]?|(?:\d+\.?\d*|\.\d+)(?:e[-+]?\d+)?[fd]?){_ENDS}$")
 _MOMENT = rf"(?i)^{_ENDS}(?:[-+]?\d{{4}}|t\d)"
+_SHORT_WHOLE = r"^-?\d{1,9}$"  # fits 32 bits, whatever the digits
 _BOOLEAN = rf"(?i)^{_ENDS}(?:t|true|f|false|y|yes|n|no|1|0){_ENDS}$"
 
 
@@ -154,7 +161,9 @@ def _kind(text: Column) -> Column:
         F.lit(TEXT))
     blank = text.isNull() | (text == "")
     sure_text = text.startswith(" ") | text.endswith(" ") | ~F.ascii(text).isin(*_LEADS)
-    return F.when(blank, F.lit(0)).when(sure_text, F.lit(TEXT)).otherwise(found)
+    return (
+        F.when(blank, F.lit(0)).when(text.rlike(_SHORT_WHOLE), bit(IntegerType))
+        .when(sure_text, F.lit(TEXT)).otherwise(found))
 
 
 def narrowest(kinds: int) -> DataType:

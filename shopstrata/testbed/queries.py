@@ -229,17 +229,22 @@ def _upserted_shipments(spark: SparkSession, sf_dir: str, label: str, **options)
     return table
 
 
-def _lake_items(spark: SparkSession, lake: Lake, arrivals: list[DataFrame], max_files: int = 1000) -> DataFrame:
-    """Silver order items after each arrival of landing files has gone through bronze."""
-    for rows in arrivals:
-        # a key's rows lie in one file, so which of them is the newest does not depend on the clock
-        write_csv(rows.repartition("order_id"), lake.landing("order_items"))
-        ingest_landing(
-            spark, lake.landing("order_items"), lake.path("bronze", "order_items"), lake.checkpoint("bronze", "order_items"),
-            max_files=max_files, texts=facts.ORDER_ITEMS.texts)
-        facts.bronze_to_silver(
-            lake.bronze_facts("order_items"), lake.silver_order_items(), silver.clean_order_items,
-            lake.checkpoint("silver", "order_items"))
+def _land_items(rows: DataFrame, folder: str) -> None:
+    # a key's rows lie in one file, so which of them is the newest does not depend on the clock
+    write_csv(rows.repartition("order_id"), folder)
+
+
+def _take_in_items(spark: SparkSession, lake: Lake, folder: str, max_files: int = 1000) -> None:
+    """Landing files that have arrived since the last call go through bronze to silver."""
+    ingest_landing(
+        spark, folder, lake.path("bronze", "order_items"), lake.checkpoint("bronze", "order_items"),
+        max_files=max_files, texts=facts.ORDER_ITEMS.texts)
+    facts.bronze_to_silver(
+        lake.bronze_facts("order_items"), lake.silver_order_items(), silver.clean_order_items,
+        lake.checkpoint("silver", "order_items"))
+
+
+def _silver_items(lake: Lake) -> DataFrame:
     keys = {c: F.col(c).cast("bigint") for c in ("order_id", "customer_id", "product_id")}
     return result(lake.silver_order_items().read().withColumns(keys))
 
@@ -252,16 +257,20 @@ def silver_clean_then_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         "quantity": F.when(F.col("quantity") == "Two", "2").when(F.col("quantity") != "x1", F.col("quantity")),
         "unit_price": F.replace("unit_price", F.lit("$"), F.lit("")),
         "discount_pct": F.replace("discount_pct", F.lit("%"), F.lit(""))})
-    return _lake_items(spark, lake, [plain, late])
+    for rows in (plain, late):
+        _land_items(rows, lake.landing("order_items"))
+        _take_in_items(spark, lake, lake.landing("order_items"))
+    return _silver_items(lake)
 
 
 def silver_batch_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files in one batch, and in batches of few files."""
-    items = retail.order_items(spark, sf_dir)
-    made = [
-        _lake_items(spark, Lake(spark, scratch_folder(spark, f"cuts-{cut}")), [items], most).withColumn("cut", F.lit(cut))
-        for cut, most in (("one", 1000), ("several", 3))
-    ]
+    lakes = {cut: Lake(spark, scratch_folder(spark, f"cuts-{cut}")) for cut in ("one", "several")}
+    files = lakes["one"].landing("order_items")
+    _land_items(retail.order_items(spark, sf_dir), files)
+    for cut, most in (("one", 1000), ("several", 3)):
+        _take_in_items(spark, lakes[cut], files, most)
+    made = [_silver_items(lake).withColumn("cut", F.lit(cut)) for cut, lake in lakes.items()]
     return made[0].unionByName(made[1])
 
 

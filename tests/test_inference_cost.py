@@ -37,3 +37,28 @@ VALUES = {
 def test_kinds_of_single_values(spark):
     found = spark.createDataFrame([(v,) for v in VALUES], "v string").select("v", landing._kind(F.col("v")).alias("kind"))
     assert {r.v: r.kind for r in found.collect()} == VALUES
+
+
+def test_kinds_of_text_columns_are_not_looked_for(spark, tmp_path):
+    files = f"{tmp_path}/in"
+    spark.sql("SELECT '1' AS a, '2' AS b").write.option("header", True).csv(f"{files}/x")
+    spark.sql("SELECT '3' AS b, '4.5' AS a, '5' AS c").write.option("header", True).csv(f"{files}/y")
+    found = landing.value_kinds(spark, files, "*.csv", 3, [1])
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(1, 0, 0), (1, 0, 1)]
+    assert "c1" not in plan(found).lower().split("readschema")[1].split(">")[0]
+    assert [tuple(r)[1:] for r in landing.value_kinds(spark, f"{files}/x", "*.csv", 2, [0, 1]).collect()] == [(0, 0)]
+    # a place is left out only where every header has a text there
+    kinds = {f.name: f.dataType.simpleString() for f in landing.kept_schema(spark, files, f"{tmp_path}/s.json", texts=["b"])}
+    assert kinds == {"a": "double", "b": "string", "c": "int"}
+
+
+def test_files_of_batch_cuts_are_written_once(spark, monkeypatch):
+    from shopstrata.testbed import queries
+
+    written = []
+    monkeypatch.setattr(queries, "write_csv", lambda rows, folder: written.append(folder) or rows.write.csv(folder, header=True))
+    taken = []
+    monkeypatch.setattr(queries, "_take_in_items", lambda spark, lake, folder, most: taken.append((folder, most)))
+    monkeypatch.setattr(queries, "_silver_items", lambda lake: spark.range(1))
+    queries.silver_batch_cuts(spark, "/root/testdata/sf0.001")
+    assert taken == [(written[0], 1000), (written[0], 3)] and len(written) == 1

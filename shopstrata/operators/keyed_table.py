@@ -71,7 +71,7 @@ class KeyedTable:
     so filters on those columns skip row groups and pages; ``cluster_by`` orders them by the
     interleaved bits of several columns instead, so filters on any of these skip. A snapshot
     is due when the commits after the last one exceed both ``settle_bytes`` and
-    ``settle_share`` of its size. A snapshot has buckets enough that a task that folds one of them holds
+    ``settle_share`` of its size; the first one waits for a second commit, unless ``settle_bytes`` is 0. A snapshot has buckets enough that a task that folds one of them holds
     about ``bucket_bytes`` at most, counted as rows in memory: columns that compress well are small on disk only.
     """
 
@@ -407,7 +407,9 @@ class KeyedTable:
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
         held, pending = self._bytes(snapshot, later)
-        due = pending > max(self.settle_bytes, self.settle_share * held)
+        # keys looked up in a lone commit move it once, which costs less than writing a snapshot for them first
+        worth = snapshot is not None or len(later) > 1 or not self.settle_bytes
+        due = worth and pending > max(self.settle_bytes, self.settle_share * held)
         if later and due:
             self.settle()
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -30,11 +31,12 @@ from pyspark.sql.types import AtomicType, BooleanType, DateType, IntegralType, N
 
 from shopstrata import storage
 from shopstrata.functions.columns import named
-from shopstrata.operators.commit_log import CommitLog
+from shopstrata.operators.commit_log import CODEC, CommitLog
 from shopstrata.operators.latest import any_null, latest_per_key, precedence
 from shopstrata.operators.names import NamedView, columns_sql, quoted
 from shopstrata.operators.snapshots import with_columns_of
 from shopstrata.operators.zorder import z_order
+from shopstrata.session import shuffles_freed
 
 CHANGE, VERSION, STAMP = "_change_type", "_commit_version", "_commit_timestamp"
 FEED_COLUMNS = (CHANGE, VERSION, STAMP)
@@ -45,6 +47,8 @@ HASH_BUILD_BYTES = 64 << 20  # most bytes of a batch's keys per bucket, as rows
 HELD = 3  # how often a task that folds a bucket holds its rows: both sides of a join, and the sort for the writer
 FEW_KEYS = 200  # most values of a key column that are handed to the scan as a list
 RANGES = 64  # most ranges of the first key that are handed to the scan
+SLICES = 4  # most slices of the keys in which a batch is compared with commits
+SLICE_BYTES = 32 << 20  # stored bytes of batch and commits per slice; smaller ones are not cut further
 PAGE_ROWS = 1000  # most rows of a page, the least that a filter skips
 
 MATCH, LAYOUT = "_match", "_layout"  # stored in snapshots beside the columns of the table
@@ -186,18 +190,20 @@ class KeyedTable:
         # The batch is used more than once below. Written out, it is computed once,
         # its size is known, and a lost executor costs a re-read, not a re-run.
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
-        rows.write.mode("overwrite").parquet(staged)
+        with shuffles_freed(rows.sparkSession):
+            rows.write.mode("overwrite").option("compression", CODEC).parquet(staged)
         incoming = with_columns_of(self.spark.read.schema(rows.schema).parquet(staged), self.schema())
         self._settle_if_due(commits)
         version = self.log.append(
-            self._compare(incoming, commits, self._key_bytes(incoming)),
+            self._compare(incoming, commits, self._key_bytes(incoming), self._slices(staged, commits)),
             source, batch, self._lookup_options(),
         )
         storage.remove(self.spark, staged)
         return version
 
-    def _as_inserts(self, rows: DataFrame) -> DataFrame:
-        return rows.select("*", F.lit(INSERT).alias(CHANGE), F.current_timestamp().alias(STAMP))
+    def _as_inserts(self, rows: DataFrame, stamp: Column | None = None) -> DataFrame:
+        now = F.current_timestamp() if stamp is None else stamp
+        return rows.select("*", F.lit(INSERT).alias(CHANGE), now.alias(STAMP))
 
     def _lookup_options(self) -> dict[str, str]:
         """Writer options that let scans pass over what a list or a range of keys can't be in."""
@@ -216,11 +222,37 @@ class KeyedTable:
         """About what the keys of a staged batch take in memory; its rows are counted in the files' footers."""
         return incoming.count() * row_bytes(self._with_match(incoming).select(*map(named, self.matched_by)).schema)
 
-    def _compare(self, incoming: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
-        """The changes that merging ``incoming`` makes."""
+    def _slices(self, staged: str, commits: list[int]) -> int:
+        """In how many slices of the keys a batch is compared.
+
+        Joining a batch with commits moves both, and what is moved takes several times their place on disk: a slice
+        at a time, it takes a share of that. Each slice reads all files again, hence few slices. A snapshot is
+        not moved, and would be read as often.
+        """
+        if self._snapshot(commits[-1]):
+            return 1
+        moved = storage.size_bytes(self.spark, staged, *[self.log.folder(n) for n in commits])
+        return max(1, min(SLICES, moved // SLICE_BYTES))
+
+    def _compare(
+        self, incoming: DataFrame, commits: list[int], batch_bytes: int, slices: int = 1
+    ) -> list[DataFrame]:
+        """The changes that merging ``incoming`` makes, those of each slice of the keys."""
+        stamp = F.timestamp_micros(F.lit(time.time_ns() // 1000))  # one time for all slices
+        keyed = incoming if self.match_null_keys else incoming.filter(~any_null(self.keys))
+        near = self._near(keyed.select(*map(named, self.keys)))
+        parts = []
+        for n in range(slices):
+            within = F.pmod(F.xxhash64(*map(named, self.keys)), F.lit(slices)) == n if slices > 1 else F.lit(True)
+            parts.append(self._compare_slice(incoming.filter(within), commits, batch_bytes, near & within, stamp))
+        return parts
+
+    def _compare_slice(
+        self, incoming: DataFrame, commits: list[int], batch_bytes: int, near: Column, stamp: Column
+    ) -> DataFrame:
         columns = incoming.columns
         keyed = self._with_match(incoming if self.match_null_keys else incoming.filter(~any_null(self.keys)))
-        old = self._old_rows(keyed.select(*map(named, {*self.keys, *self.matched_by})), commits, batch_bytes)
+        old = self._old_rows(keyed.select(*map(named, {*self.keys, *self.matched_by})), commits, batch_bytes, near)
         old = self._with_match(with_columns_of(old, incoming.schema))
 
         pairs = keyed.select(*map(named, self.matched_by), F.struct(*map(named, columns)).alias("new")).join(
@@ -245,20 +277,22 @@ class KeyedTable:
         ).select(
             *[F.col("e.row").getField(c).alias(c) for c in columns],
             F.col("e.kind").alias(CHANGE),
-            F.current_timestamp().alias(STAMP),
+            stamp.alias(STAMP),
         )
         if self.match_null_keys:
             return merged
-        return merged.unionByName(self._as_inserts(incoming.filter(any_null(self.keys))))
+        return merged.unionByName(self._as_inserts(incoming.filter(any_null(self.keys)), stamp))
 
-    def _old_rows(self, wanted: DataFrame, commits: list[int], batch_bytes: int) -> DataFrame:
+    def _old_rows(
+        self, wanted: DataFrame, commits: list[int], batch_bytes: int, near: Column | None = None
+    ) -> DataFrame:
         """Current rows of the wanted keys: the newest of snapshot and later commits.
 
         Both are read where the staged batch's keys can be only: scans skip row groups and pages.
         """
         snapshot = self._snapshot(commits[-1])
         later = self._after(snapshot, commits)
-        near = self._near(wanted)
+        near = self._near(wanted) if near is None else near
         side, by = wanted.select(*map(named, self.matched_by)), list(self.matched_by)
         found = []
         if snapshot:
@@ -369,10 +403,20 @@ class KeyedTable:
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def _newest_images(self, commits: list[int]) -> DataFrame:
-        images = self._images(commits)
-        if len(commits) > 1:  # one commit holds one row per key already
-            images = latest_per_key(images, self.keys, [VERSION])
-        return images.drop(VERSION)
+        """The newest image of each key.
+
+        One commit holds one row per key already. Those of the newest commit need not move, and of the commit before it
+        those columns move that the reader asks for.
+        """
+        newest = self._images(commits[-1:]).drop(VERSION)
+        if len(commits) == 1:
+            return newest
+        older = self._images(commits[:-1])
+        if len(commits) > 2:
+            older = latest_per_key(older, self.keys, [VERSION])
+        replaced = self._with_match(newest).select(*map(named, self.matched_by))
+        kept = self._with_match(older).join(replaced, list(self.matched_by), "left_anti")
+        return kept.select(*map(named, newest.columns)).unionByName(newest)
 
     def _rows_as_of(self, newest: int, keyless: bool = True) -> DataFrame:
         snapshot = self._snapshot(newest)
@@ -432,15 +476,16 @@ class KeyedTable:
             rows = rows.withColumn(LAYOUT, z_order(given, self.cluster_by))
         staged = f"{self.path}/_staging/{uuid.uuid4().hex}"
         name = f"shopstrata_staging_{uuid.uuid4().hex}"
-        (
-            rows.write.format("parquet").options(**self._lookup_options())
-            .bucketBy(buckets, *self.matched_by).sortBy(*([LAYOUT] if self.cluster_by else self.sort_by))
-            .option("path", f"{staged}/rows").saveAsTable(name)
-        )
+        with shuffles_freed(rows.sparkSession):
+            (
+                rows.write.format("parquet").option("compression", CODEC).options(**self._lookup_options())
+                .bucketBy(buckets, *self.matched_by).sortBy(*([LAYOUT] if self.cluster_by else self.sort_by))
+                .option("path", f"{staged}/rows").saveAsTable(name)
+            )
         self.spark.sql(f"DROP TABLE {name}")  # the name only: the files are external
         lone = self._unmatchable(snapshot, later)
         if lone is not None:
-            lone.write.parquet(f"{staged}/keyless")
+            lone.write.option("compression", CODEC).parquet(f"{staged}/keyless")
         kind = "-m" if self.match_null_keys else ""
         storage.publish(self.spark, staged, f"{self.path}/snapshots/v={newest}-b{buckets}{kind}")
 

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,6 +48,25 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is run inside leaves no shuffle files behind.
+
+    They would stay until the driver happens to collect its garbage, so a job of several writes would
+    hold the shuffles of all of them at once. ``spark`` is the session of the rows that are written.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def is_local(spark: SparkSession) -> bool:
     """Whether driver and executors share one machine's disk by construction."""
     master = spark.conf.get("spark.master", "")
